@@ -6,14 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioflow.plans import pipeline_queries
+from folioflow.plans import pipeline_queries, store_queries
 
-MODULES = (pipeline_queries,)
+GROUPS = (store_queries,)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: query for module in MODULES for name, query in module.queries().items()}
+    return pipeline_queries.queries() | {name: query for group in GROUPS for name, query in group.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for module in MODULES for name, sql in module.oracle_sql().items()}
+    return pipeline_queries.oracle_sql() | {name: sql for group in GROUPS for name, sql in group.SQL.items()}
