@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioflow.plans import pipeline_queries, store_queries
+from folioflow.plans import pipeline_queries, search_queries, store_queries
 
-GROUPS = (store_queries,)
+GROUPS = (store_queries, search_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,3 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return pipeline_queries.oracle_sql() | {name: sql for group in GROUPS for name, sql in group.SQL.items()}
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search_queries.fusion_rank(spark, sf_dir)
