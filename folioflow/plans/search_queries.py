@@ -301,12 +301,12 @@ def evidence_catalog(spark, d):
 @query(
     f"""WITH {_UNITS}, t AS (SELECT document_version_id, coalesce(sum(token_count), 0) AS total FROM u GROUP BY 1)
 SELECT document_version_id, content_unit_id, 1.0::DOUBLE AS score FROM u JOIN t USING (document_version_id) WHERE total <= 20000
-UNION ALL SELECT document_version_id, content_unit_id, 0.5 FROM u JOIN t USING (document_version_id) WHERE total > 20000 AND page_number <= 3"""
+UNION ALL SELECT document_version_id, content_unit_id, 0.5 FROM u JOIN t USING (document_version_id) WHERE total > 20000"""
 )
 def small_doc_bypass(spark, d):
-    """Small documents whole, the hits (here the first pages) of the others."""
+    """Small documents whole, the hits (here all units) of the others."""
     u = _units(spark, d)
-    return expand.small_or_searched(u, u.where("page_number <= 3").select("document_version_id", "content_unit_id", F.lit(0.5).alias("score")), 20000)
+    return expand.small_or_searched(u, u.select("document_version_id", "content_unit_id", F.lit(0.5).alias("score")), 20000)
 
 
 @query(
