@@ -235,29 +235,28 @@ def progressive_toc(sections: DataFrame, document: str = "document_version_id",
 def sheet_markdown(cells: DataFrame, key: Sequence[str], row: str, column: str, value: str) -> DataFrame:
     """Sheets of sparse cells (key, row, column, value) as markdown tables of the populated rows and columns; ``column`` is a number,
     shown in letters. A sheet is one string, so its cells meet in one task, as numbers and short texts."""
-    from pyspark.sql.types import StringType
-
-    letters = F.udf(_letters, StringType())
     text = F.replace(F.regexp_replace(F.coalesce(F.col(value), F.lit("")), "[\r\n]+", " "), F.lit("|"), F.lit("\\|"))
     used = cells.where(F.coalesce(value, F.lit("")) != "").select(*key, F.col(row).alias("_r"), F.col(column).alias("_c"), text.alias("_v"))
     columns = used.groupBy(*key).agg(F.array_sort(F.collect_set("_c")).alias("_columns"))
     rows = used.groupBy(*key, "_r").agg(F.map_from_entries(F.collect_list(F.struct("_c", "_v"))).alias("_cells")).join(columns, list(key))
     line = F.concat(F.lit("| "), F.col("_r").cast("string"), F.lit(" | "), F.array_join(F.transform("_columns", lambda c: F.coalesce(F.col("_cells")[c], F.lit(""))), " | "), F.lit(" |"))
     body = rows.select(*key, "_r", line.alias("_line")).groupBy(*key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_r", "_line"))), lambda x: x["_line"]), "\n").alias("_body"))
-    head = F.concat(F.lit("| Row | "), letters("_columns"), F.lit(" |"))
+    head = F.concat(F.lit("| Row | "), F.array_join(F.transform("_columns", column_letters), " | "), F.lit(" |"))
     rule = F.concat(F.lit("| "), F.array_join(F.array_repeat(F.lit("---"), F.size("_columns") + 1), " | "), F.lit(" |"))
     return body.join(columns, list(key)).select(*key, F.concat_ws("\n", head, rule, "_body").alias("markdown"))
 
 
-def _letters(columns: list[int]) -> str:
-    out = []
-    for n in columns:
-        name = ""
-        while n > 0:
-            n, rest = divmod(n - 1, 26)
-            name = chr(65 + rest) + name
-        out.append(name)
-    return " | ".join(out)
+def column_letters(n: Column) -> Column:
+    """A column's number, from 1 to 18,278, in letters."""
+    def letter(k: Column) -> Column:
+        return F.chr((k % 26 + 65).cast("int"))
+
+    one, two, three = n - 1, n - 27, n - 703
+    return (
+        F.when(n <= 26, letter(one))
+        .when(n <= 702, F.concat(letter(F.floor(two / 26)), letter(two)))
+        .otherwise(F.concat(letter(F.floor(three / 676)), letter(F.floor(three / 26)), letter(three)))
+    )
 
 
 def distinct_calls(rows: DataFrame, content: str, answer) -> DataFrame:
