@@ -290,7 +290,7 @@ def leaked_items(
     nothing; items of fewer words than a window are no passages and give no rows; copies of a document are rows of their own."""
     held = items.where(F.col(item_text).isNotNull()).select(F.col(item_key).alias("_item"), F.col(item_text).alias("_text"))
     rows = sorted((tuple(r) for r in held.toLocalIterator()), key=repr)
-    schema = f"{key} {dict(documents.dtypes)[key]}, {item_key} {dict(items.dtypes)[item_key]}, share double"
+    schema = f"_key string, {item_key} {dict(items.dtypes)[item_key]}, share double"
     result = None
     for low in range(0, max(len(rows), 1), ITEM_BLOCK):
         part = _leaks_of_block(documents, key, text, rows[low : low + ITEM_BLOCK], schema, share)
@@ -317,5 +317,6 @@ def _leaks_of_block(documents: DataFrame, key: str, text: str, block: list[tuple
                     out.append((batch["_key"].iloc[row], index.ids[item], held))
             yield pd.DataFrame(out, columns=[f.split()[0] for f in schema.split(", ")])
 
-    picked = documents.where(F.col(text).isNotNull() & (F.col(text) != "")).select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    return picked.mapInPandas(search, schema)
+    picked = documents.where(F.col(text).isNotNull() & (F.col(text) != "")).select(F.col(key).cast("string").alias("_key"), F.col(text).alias("_text"))
+    rows = picked.mapInPandas(search, schema)
+    return rows.select(F.col("_key").cast(documents.schema[key].dataType).alias(key), *rows.columns[1:])

@@ -70,15 +70,15 @@ def _pack_shard(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarra
 
 def document_tokens(documents: DataFrame, key: str, text: str, folder: str = FOLDER, name: str = NAME) -> DataFrame:
     """(key, n_tokens) of every document under a public tokenizer; NULL texts have 0. No shuffle."""
-    schema = f"{key} {dict(documents.dtypes)[key]}, n_tokens bigint"
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoding = byte_bpe(folder, name)
         for batch in batches:
             sizes = [len(encoding.encode_ordinary(t)) if t else 0 for t in batch["_text"].tolist()]
-            yield pd.DataFrame({key: batch["_key"], "n_tokens": np.array(sizes, dtype=np.int64)})
+            yield pd.DataFrame({"_key": batch["_key"], "n_tokens": np.array(sizes, dtype=np.int64)})
 
-    return documents.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text")).mapInPandas(count, schema)
+    picked = documents.select(F.col(key).cast("string").alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    return picked.mapInPandas(count, "_key string, n_tokens bigint").select(F.col("_key").cast(documents.schema[key].dataType).alias(key), "n_tokens")
 
 
 def pack_sizes(sizes: DataFrame, key: str, capacity: int = CAPACITY, shards: int = 8, fan_in: int = 8) -> DataFrame:
@@ -87,18 +87,18 @@ def pack_sizes(sizes: DataFrame, key: str, capacity: int = CAPACITY, shards: int
     An item beyond the capacity is cut into pieces of the capacity and a rest; no other item is cut. Items of size 0 or
     NULL take no space: their container is NULL. Equal keys are items of their own. The result depends on keys and sizes only
     as far as ties go: every container keeps within the capacity and every item is placed once."""
-    kind = dict(sizes.dtypes)[key]
+    kind = sizes.schema[key].dataType
     n = F.coalesce(F.col("n_tokens"), F.lit(0))
     pieces = sizes.select(
-        key,
+        F.col(key).cast("string").alias("_key"),
         F.explode(F.when(n > capacity, F.sequence(F.lit(0), F.floor((n - 1) / capacity).cast("int"))).otherwise(F.array(F.lit(0)))).alias("piece_no"),
         n.cast("bigint").alias("_n"),
-    ).select(key, "piece_no", F.least(F.col("_n") - F.col("piece_no") * capacity, F.lit(capacity)).cast("int").alias("n_tokens"))
-    shard = F.pmod(F.xxhash64(key, "piece_no"), F.lit(shards)).cast("int")
-    schema = f"{key} {kind}, piece_no int, n_tokens int, container bigint, fill int, shard int"
+    ).select("_key", "piece_no", F.least(F.col("_n") - F.col("piece_no") * capacity, F.lit(capacity)).cast("int").alias("n_tokens"))
+    shard = F.pmod(F.xxhash64("_key", "piece_no"), F.lit(shards)).cast("int")
+    schema = "_key string, piece_no int, n_tokens int, container bigint, fill int, shard int"
 
     def pack(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values([key, "piece_no"], kind="stable")
+        frame = frame.sort_values(["_key", "piece_no"], kind="stable")
         real = frame["n_tokens"].to_numpy() > 0
         boxes, fill = _pack_shard(frame["n_tokens"].to_numpy()[real], capacity)
         own = int(frame["shard"].iloc[0])
@@ -106,13 +106,13 @@ def pack_sizes(sizes: DataFrame, key: str, capacity: int = CAPACITY, shards: int
         container[real] = boxes * shards + own
         full = np.zeros(len(frame), dtype=np.int32)
         full[real] = fill[boxes]
-        return frame.assign(container=container, fill=full)[[key, "piece_no", "n_tokens", "container", "fill", "shard"]]
+        return frame.assign(container=container, fill=full)[["_key", "piece_no", "n_tokens", "container", "fill", "shard"]]
 
     first = checkpointed(pieces.withColumn("shard", shard).groupBy("shard").applyInPandas(pack, schema))
     moved = _merge_open(first.where(F.col("fill").between(1, int(capacity * FULL) - 1)), capacity, shards, fan_in)
     placed = first.join(moved, "container", "left") if moved is not None else first.withColumn("target", F.lit(None).cast("bigint")).withColumn("target_fill", F.lit(None).cast("int"))
     return placed.select(
-        key,
+        F.col("_key").cast(kind).alias(key),
         "piece_no",
         (F.col("piece_no") * capacity).cast("int").alias("first_token"),
         "n_tokens",

@@ -117,7 +117,7 @@ def split_oversized(
     # n tokens need 2n - 1 characters (header and text are parted by a line), so short texts need no counting
     long_enough = items.where(F.length(head) + F.length(body) >= 2 * limit)
     oversized = long_enough.where(token_count(head) + token_count(body) > limit)
-    schema = f"{key} {dict(items.dtypes)[key]}, piece_no int, first_token int, n_tokens int, start_char int, end_char int, header_tokens int" + ", piece string" * with_text
+    schema = "_key string, piece_no int, first_token int, n_tokens int, start_char int, end_char int, header_tokens int" + ", piece string" * with_text
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -133,5 +133,6 @@ def split_oversized(
                     rows.append((k, no, first, n, start, end, kept, *([piece] if with_text else [])))
             yield pd.DataFrame(rows, columns=[f.split()[0] for f in schema.split(", ")])
 
-    picked = oversized.select(F.col(key).alias("_key"), head.alias("_head"), body.alias("_body"))
-    return picked.mapInPandas(split, schema)
+    picked = oversized.select(F.col(key).cast("string").alias("_key"), head.alias("_head"), body.alias("_body"))
+    rows = picked.mapInPandas(split, schema)
+    return rows.select(F.col("_key").cast(items.schema[key].dataType).alias(key), *rows.columns[1:])
