@@ -29,6 +29,7 @@ def signed_cells(snapshots: DataFrame, snapshot: str, key: str, fields: Sequence
     """Cells (pair, key, field, value, sign) of all consecutive pairs; ``pair`` is the later snapshot's id.
 
     ``snapshots`` must hold one row for each (snapshot, key). NULL values give cells of their own."""
+    snapshots = snapshots.select(snapshot, key, *fields)
     ids = snapshots.select(F.col(snapshot).alias("_id")).where(F.col("_id").isNotNull()).distinct()
     # one row for each snapshot, so the order over all of them is small by nature
     order = ids.select("_id", F.lead("_id").over(Window.orderBy("_id")).alias("_next"), F.lag("_id").over(Window.orderBy("_id")).alias("_prev"))

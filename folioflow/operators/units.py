@@ -16,7 +16,7 @@ def common_units(findings: DataFrame, key: str = "finding_id") -> DataFrame:
 
     NULL and empty fields state nothing; ranges, words and values without a unit give no row; equal rows give equal rows.
     Row by row, so nothing is shuffled; only the columns that are read go to Python, in Arrow batches."""
-    schema = f"{key} {dict(findings.dtypes)[key]}, common_unit string, amount bigint"
+    schema = "_key string, common_unit string, amount bigint"
 
     def convert(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from folioflow.functions.unit_grammar import common_amount
@@ -25,6 +25,8 @@ def common_units(findings: DataFrame, key: str = "finding_id") -> DataFrame:
             columns = [batch[c].astype(object).where(batch[c].notna(), None) for c in FIELDS]
             found = [common_amount(*row) for row in zip(*columns, strict=True)]
             keep = [i for i, f in enumerate(found) if f is not None]
-            yield pd.DataFrame({key: batch[key].iloc[keep].array, "common_unit": [found[i][0] for i in keep], "amount": pd.array([found[i][1] for i in keep], dtype="int64")})
+            yield pd.DataFrame({"_key": batch["_key"].iloc[keep].array, "common_unit": [found[i][0] for i in keep], "amount": pd.array([found[i][1] for i in keep], dtype="int64")})
 
-    return findings.where(F.col("metric_value").isNotNull()).select(key, *FIELDS).mapInPandas(convert, schema)
+    # ids go to Python and back as text: pandas would turn a nullable integer into a float
+    picked = findings.where(F.col("metric_value").isNotNull()).select(F.col(key).cast("string").alias("_key"), *FIELDS)
+    return picked.mapInPandas(convert, schema).select(F.col("_key").cast(findings.schema[key].dataType).alias(key), "common_unit", "amount")

@@ -30,7 +30,7 @@ def nearest(content: DataFrame, queries: DataFrame, k: int = TOP_K, unit: str =
     those are shuffled. No index: the result is exact."""
     kinds = f"{query} {dict(queries.dtypes)[query]}, {unit} {dict(content.dtypes)[unit]}, distance double"
     result, block = None, []
-    source = queries.where(F.size(vector) > 0).select(query, vector)
+    source = queries.where((F.size(vector) > 0) & F.col(query).isNotNull()).select(query, vector)
     rows = source.toLocalIterator()
 
     def search(block: list) -> DataFrame:
@@ -59,7 +59,7 @@ def nearest(content: DataFrame, queries: DataFrame, k: int = TOP_K, unit: str =
                         {query: np.tile(np.array(names), len(order)), unit: keys[order].ravel(), "distance": np.take_along_axis(found, order, axis=0).ravel()}
                     )
 
-        return content.where(F.size(vector) > 0).select(unit, vector).mapInPandas(local, kinds)
+        return content.where((F.size(vector) > 0) & F.col(unit).isNotNull()).select(unit, vector).mapInPandas(local, kinds)
 
     for row in rows:
         block.append(row)
