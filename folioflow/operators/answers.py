@@ -121,3 +121,26 @@ def assertion_results(answers: DataFrame, response: str, includes: str, any_of:
     none = F.array().cast("array<string>")
     every, some = F.coalesce(F.col(includes), none), F.coalesce(F.col(any_of), none)
     return answers.withColumn("passed", F.forall(every, held) & ((F.size(some) == 0) | F.exists(some, held)))
+
+
+def reference_appendix(refs: DataFrame, key: str = "document_version_id") -> DataFrame:
+    """(key, appendix): the references of an answer as a markdown table, in the order of their numbers."""
+    line = F.format_string("| %d | %s | %s | %d | %s |", "ref_id", text_or_blank(F.col("source")), text_or_blank(F.col("filename")), F.coalesce("page", F.lit(0)), text_or_blank(F.col("location_detail")))
+    rows = refs.select(key, "ref_id", line.alias("_line"))
+    lines = F.transform(F.array_sort(F.collect_list(F.struct("ref_id", "_line"))), lambda x: x["_line"])
+    head = F.array(F.lit("## References"), F.lit("| # | Source | File | Page | Location |"), F.lit("|---|--------|------|------|----------|"))
+    return rows.groupBy(key).agg(F.array_join(F.concat(head, lines), "\n").alias("appendix"))
+
+
+def context_sections(chunks: DataFrame, key: str = "document_version_id") -> DataFrame:
+    """(key, section_id, first_page, last_page, units): the evidence grouped by section, as it is shown to a model."""
+    return chunks.groupBy(key, F.coalesce("section_id", F.lit("")).alias("section_id")).agg(
+        F.min("page_number").alias("first_page"), F.max("page_number").alias("last_page"), F.count(F.lit(1)).alias("units")
+    )
+
+
+def lineage(chunks: DataFrame, follow_up: DataFrame, initial: DataFrame, key: list[str]) -> DataFrame:
+    """Chunks with ``origin``: that of the follow-up search if there is one, else of the first search, else ''."""
+    f = follow_up.groupBy(*key).agg(F.min("origin").alias("_f"))
+    i = initial.groupBy(*key).agg(F.min("origin").alias("_i"))
+    return chunks.join(f, key, "left").join(i, key, "left").withColumn("origin", F.coalesce("_f", "_i", F.lit(""))).drop("_f", "_i")

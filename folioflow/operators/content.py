@@ -265,3 +265,76 @@ def distinct_calls(rows: DataFrame, content: str, answer) -> DataFrame:
     keyed = rows.withColumn("_digest", F.sha2(F.coalesce(F.col(content), F.lit("")), 256))
     once = keyed.groupBy("_digest").agg(F.first(content).alias(content))
     return keyed.join(answer(once), "_digest", "left").drop("_digest")
+
+
+def natural_key(identifier: Column) -> Column:
+    """Sorts dotted ids part by part, numbers by value and before texts; a blank id comes first."""
+    parts = F.filter(F.split(F.coalesce(identifier, F.lit("")), r"\."), lambda p: p != "")
+    return F.transform(parts, lambda p: F.struct(p.try_cast("bigint").isNull().alias("is_text"), F.coalesce(p.try_cast("bigint"), F.lit(0)).alias("number"), p.alias("text")))
+
+
+def page_sections(pages: DataFrame, label: str = "Page", document: str = "document_version_id") -> DataFrame:
+    """(document, section_id, title, page_start, page_end, chunk_ids, token_count): one section for each page. Its title is the sheet
+    name of its first row that has one, else ``label`` and the page's number. Sections are numbered in page order."""
+    sheet = F.trim(F.regexp_extract(F.coalesce("raw_content", F.lit("")), r"(?m)^#[ \t]+Sheet:[ \t]+([^\r\n]+)", 1))
+    unit = F.coalesce(F.nullif("chunk_id", F.lit("")), F.col("page_number").cast("string"))
+    key = F.struct(natural_key(F.col("chunk_id")), F.col("page_result_id"))
+    grouped = pages.groupBy(document, "page_number").agg(
+        F.min_by(F.when(sheet != "", sheet), F.when(sheet != "", key)).alias("_title"),
+        F.transform(F.array_sort(F.collect_list(F.struct(key.alias("k"), unit.alias("u")))), lambda x: x["u"]).alias("chunk_ids"),
+        F.sum(F.coalesce("raw_token_count", F.lit(0))).alias("token_count"),
+    )
+    number = F.row_number().over(Window.partitionBy(document).orderBy("page_number"))
+    return grouped.select(
+        document,
+        number.cast("string").alias("section_id"),
+        F.coalesce("_title", F.format_string(f"{label} %d", F.col("page_number"))).alias("title"),
+        F.col("page_number").alias("page_start"),
+        F.col("page_number").alias("page_end"),
+        "chunk_ids",
+        "token_count",
+    )
+
+
+def chunk_subsections(pages: DataFrame, sections: DataFrame, document: str = "document_version_id") -> DataFrame:
+    """(document, section_id, parent_section_id, title, unit_id): every chunk of a section's first page as a subsection of it."""
+    chunks = pages.where(F.coalesce("chunk_id", F.lit("")) != "").select(document, F.col("page_number").alias("page_start"), "chunk_id", "chunk_context", "page_result_id")
+    w = Window.partitionBy(document, "page_start").orderBy(natural_key(F.col("chunk_id")), "page_result_id")
+    numbered = chunks.withColumn("_no", F.row_number().over(w))
+    label = F.coalesce(F.nullif("chunk_context", F.lit("")), F.format_string("Chunk %d", F.col("_no")))
+    joined = numbered.join(sections.select(document, "page_start", "section_id", "title"), [document, "page_start"])
+    return joined.select(
+        document,
+        F.concat_ws(".", "section_id", "_no").alias("section_id"),
+        F.col("section_id").alias("parent_section_id"),
+        F.when(F.col("title") != "", F.concat_ws(" — ", "title", label)).otherwise(label).alias("title"),
+        F.col("chunk_id").alias("unit_id"),
+    )
+
+
+def is_embeddable(level: Column, summary: Column) -> Column:
+    return (level == "section") | ((level == "subsection") & (F.coalesce(summary, F.lit("")) != ""))
+
+
+def series_text(categories: Column, values: Column, most: int = 12) -> Column:
+    """Points of a chart series, ``category: value``; the shorter side is padded with blanks."""
+    points = F.slice(F.arrays_zip(categories.alias("c"), values.alias("v")), 1, most)
+    return F.array_join(F.transform(points, lambda p: F.concat(F.coalesce(p["c"].cast("string"), F.lit("")), F.lit(": "), F.coalesce(p["v"].cast("string"), F.lit("")))), "; ")
+
+
+def valid_box(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
+    """Whether a region's corners lie in the unit square, the first before the second."""
+    return F.coalesce((x1 >= 0) & (x1 < x2) & (x2 <= 1) & (y1 >= 0) & (y1 < y2) & (y2 <= 1), F.lit(False))
+
+
+def set_differences(expected: DataFrame, actual: DataFrame) -> DataFrame:
+    """Rows that only one side has, as often as it has them more, with ``problem``: missing or unexpected."""
+    missing = expected.exceptAll(actual).withColumn("problem", F.lit("missing"))
+    return missing.unionByName(actual.exceptAll(expected).withColumn("problem", F.lit("unexpected")))
+
+
+def updated(base: DataFrame, changes: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Rows with the columns that came back for their key; others, and those that came back NULL, keep theirs."""
+    new = changes.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in columns])
+    joined = base.join(new, list(keys), "left")
+    return joined.withColumns({c: F.coalesce(f"_new_{c}", c) for c in columns}).drop(*[f"_new_{c}" for c in columns])

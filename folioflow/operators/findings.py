@@ -142,3 +142,27 @@ def coverage_audit(findings: DataFrame, refs: DataFrame, used: DataFrame, text:
     answer = F.replace(text, F.lit(","), F.lit(""))
     missing = cited.where((F.size("_t") > 0) & ~F.exists("_t", lambda t: F.contains(answer, t)))
     return uncited.unionByName(missing.select(document, "finding_id", F.lit("value missing").alias("problem")))
+
+
+def source_refs(groups: DataFrame, refs: DataFrame) -> DataFrame:
+    """(group, period, metric_value, sources): who states a value, ``source [REF:n]`` once each in the order of the findings."""
+    placed = groups.join(refs.select("finding_id", "source", "ref_id"), "finding_id", "left")
+    label = F.when(F.col("ref_id").isNotNull(), F.format_string("%s [REF:%d]", F.coalesce("source", F.lit("")), F.col("ref_id"))).otherwise(F.coalesce("source", F.lit("")))
+    once = placed.groupBy(*GROUP, "period", "metric_value", label.alias("_label")).agg(F.min("finding_id").alias("_first"))
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_first", "_label"))), lambda x: x["_label"]), "; ")
+    return once.groupBy(*GROUP, "period", "metric_value").agg(joined.alias("sources"))
+
+
+def parsed_findings(payload: Column) -> Column:
+    """Findings from a model's JSON; NULL where the text is no JSON of the schema."""
+    from folioflow.schemas import PROVIDER_ANSWERS, struct
+
+    return F.from_json(payload, struct(PROVIDER_ANSWERS["research"]))["findings"]
+
+
+def is_valid_finding(f: Column) -> Column:
+    """The three required fields are there; optional ones may be missing but not blank."""
+    required = (text_or_blank(f["finding"]) != "") & (F.coalesce(f["page"], F.lit(0)) > 0) & (text_or_blank(f["location_detail"]) != "")
+    for name in ("metric_name", "metric_value", "unit", "period", "segment"):
+        required = required & (f[name].isNull() | (F.trim(f[name]) != ""))
+    return required

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.operators import content, store
+from folioflow.operators import content
 from folioflow.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -213,24 +213,6 @@ def section_tokens(spark, d):
     return joined.where(~((F.col("tokens") == 0) & (F.col("page_start") > F.col("page_end")))).select("document_version_id", "section_id", "tokens", "units")
 
 
-_UNIT = "coalesce(nullif(chunk_id, ''), page_number::VARCHAR)"
-
-
-@query(
-    f"""WITH x AS (SELECT document_version_id, {_UNIT} AS unit_id, section_id, CASE WHEN contains(section_id, '.') THEN 1000 ELSE 0 END + length(section_id) AS seq FROM page_results WHERE coalesce(section_id, '') <> ''
-  UNION ALL SELECT document_version_id, {_UNIT}, split_part(section_id, '.', 1), length(split_part(section_id, '.', 1)) FROM page_results WHERE contains(section_id, '.'))
-SELECT document_version_id, unit_id, arg_max(section_id, (seq, section_id)) AS section_id FROM x GROUP BY 1, 2"""
-)
-def deepest_section(spark, d):
-    """Sections list the units that they and their children own."""
-    p = table(spark, d, "page_results").where("coalesce(section_id, '') <> ''").withColumn("unit_id", store.unit_id())
-    own = p.select("document_version_id", "unit_id", "section_id")
-    parent = p.where("contains(section_id, '.')").select("document_version_id", "unit_id", F.split("section_id", r"\.")[0].alias("section_id"))
-    listed = own.unionByName(parent).withColumn("sequence", F.when(F.contains("section_id", F.lit(".")), 1000).otherwise(0) + F.length("section_id"))
-    sections = listed.groupBy("document_version_id", "section_id", "sequence").agg(F.collect_list("unit_id").alias("chunk_ids"))
-    return content.deepest_sections(sections)
-
-
 @query(
     f"""WITH {_STARTS} SELECT document_version_id, no::VARCHAR AS section_id, coalesce(string_agg(no::VARCHAR || ' | ' || left(title, 80) || ' | p.' || page_start, '; ') OVER
   (PARTITION BY document_version_id ORDER BY page_start, no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS toc FROM sec"""
