@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from folioflow.operators.ranks import row_numbers
+
 WEIGHTS = {
     "content_vector": 0.25, "hyde_vector": 0.20, "subquery_vector": 0.15, "keyword_vector": 0.10,
     "section_summary": 0.10, "bm25": 0.12, "keyword_array": 0.07, "entity_array": 0.01,
@@ -49,10 +51,12 @@ def fused(hits: DataFrame, weights: Mapping[str, float] = WEIGHTS, query: str =
     )
 
 
-def ranked(scored: DataFrame, query: str = "query_id", unit: str = "content_unit_id", k: int | None = None) -> DataFrame:
-    """Positions by score, ties by unit; with ``k`` the first of each query, of which every task keeps only its own ``k``."""
-    out = scored.withColumn("position", F.row_number().over(Window.partitionBy(query).orderBy(F.round("score", 9).desc(), unit)))
-    return out if k is None else out.where(F.col("position") <= k)
+def ranked(scored: DataFrame, query: str = "query_id", unit: str = "content_unit_id", k: int | None = None, hits: DataFrame | None = None) -> DataFrame:
+    """Positions by score, ties by unit; ``hits``: the rows that were fused, of which each query has no fewer; with ``k`` the first of each query, of which every task keeps only its own ``k``."""
+    order = [F.round("score", 9).desc(), F.col(unit)]
+    if k is None:
+        return row_numbers(scored, [query], order, "position", bound=None if hits is None else hits.select(query))
+    return scored.withColumn("position", F.row_number().over(Window.partitionBy(query).orderBy(*order))).where(F.col("position") <= k)
 
 
 def dominant_strategies(scored: DataFrame, weights: Mapping[str, float] = WEIGHTS, order: Sequence[str] = STRATEGIES, query: str = "query_id", unit: str = "content_unit_id") -> DataFrame:

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioflow.session import small_side
+from folioflow.operators.ranks import row_numbers
+from folioflow.session import checkpointed, small_side
 
 K1, B = 1.2, 0.75
 TERM_CAP = 6
@@ -44,8 +45,9 @@ def bm25(texts: DataFrame, queries: DataFrame, unit: str, text: str, k: int | No
     Length and number of texts are taken over all of them."""
     wanted = queries.select("query_id", F.explode(F.array_distinct("terms")).alias("term"))
     vocabulary = [r[0] for r in wanted.select("term").distinct().toLocalIterator()]  # the words of the stated queries
-    tokens = texts.where(F.col(unit).isNotNull()).select(F.col(unit).alias("unit"), terms_of(F.col(text)).alias("tokens"))
-    sized = tokens.select("unit", F.size("tokens").alias("length"), F.filter("tokens", lambda t: t.isin(*vocabulary)).alias("hits"))
+    # the texts are cut into terms once; what is kept of each is its length and the terms asked for
+    cut = F.get(F.transform(F.array(terms_of(F.col(text))), lambda ts: F.struct(F.size(ts).alias("length"), F.filter(ts, lambda t: t.isin(*vocabulary)).alias("hits"))), F.lit(0))
+    sized = checkpointed(texts.where(F.col(unit).isNotNull()).select(F.col(unit).alias("unit"), cut.alias("c")).select("unit", "c.length", "c.hits"))
     total = sized.agg(F.count(F.lit(1)).alias("n_texts"), F.avg("length").alias("mean_length"))
     postings = sized.where(F.size("hits") > 0).select("unit", "length", F.explode("hits").alias("term")).groupBy("unit", "length", "term").agg(F.count(F.lit(1)).alias("tf"))
     df = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
@@ -53,9 +55,11 @@ def bm25(texts: DataFrame, queries: DataFrame, unit: str, text: str, k: int | No
     idf = F.log(1 + (F.col("n_texts") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     part = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("length") / F.col("mean_length")))
     scored = joined.groupBy("query_id", "unit").agg(F.sum(part).alias("score"))
-    ranked = scored.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.round("score", 9).desc(), "unit")))
-    out = ranked if k is None else ranked.where(F.col("rank") <= k)
-    return out.withColumnRenamed("unit", unit)
+    order = [F.round("score", 9).desc(), F.col("unit")]
+    if k is None:
+        return row_numbers(scored, ["query_id"], order, "rank").withColumnRenamed("unit", unit)
+    ranked = scored.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*order)))
+    return ranked.where(F.col("rank") <= k).withColumnRenamed("unit", unit)
 
 
 def contains_any(rows: DataFrame, array: str, wanted: Sequence[str], key: Sequence[str], k: int | None = None) -> DataFrame:

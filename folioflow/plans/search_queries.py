@@ -163,13 +163,15 @@ def normalize(spark, d):
 @query(f"WITH {_NORMAL} SELECT query_id, content_unit_id, round(score, 6) AS score, position FROM r")
 def fusion_rank(spark, d):
     """The flagship query, eight strategies fused by weight."""
-    return fusion.ranked(fusion.fused(table(spark, d, "search_results"))).select("query_id", "content_unit_id", F.round("score", 6).alias("score"), "position")
+    hits = table(spark, d, "search_results")
+    return fusion.ranked(fusion.fused(hits), hits=hits).select("query_id", "content_unit_id", F.round("score", 6).alias("score"), "position")
 
 
 @query(f"WITH {_NORMAL} SELECT query_id, position <= 10 AS forwarded, count(*) AS units FROM r GROUP BY ALL")
 def candidate_cut(spark, d):
     """O09"""
-    r = fusion.ranked(fusion.fused(table(spark, d, "search_results")))
+    hits = table(spark, d, "search_results")
+    r = fusion.ranked(fusion.fused(hits), hits=hits)
     return r.groupBy("query_id", (F.col("position") <= 10).alias("forwarded")).agg(F.count(F.lit(1)).alias("units"))
 
 
