@@ -25,12 +25,13 @@ def latest_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], values
     return df.groupBy(*keys).agg(F.max_by(payload, rank).alias("_row")).select(*keys, "_row.*")
 
 
-def signed_cells(snapshots: DataFrame, snapshot: str, key: str, fields: Sequence[str]) -> DataFrame:
-    """Cells (pair, key, field, value, sign) of all consecutive pairs; ``pair`` is the later snapshot's id.
+def signed_cells(snapshots: DataFrame, snapshot: str, key: str, fields: Sequence[str], ids: DataFrame | None = None) -> DataFrame:
+    """Cells (pair, key, field, value, sign) of all consecutive pairs; ``pair`` is the later snapshot's id. ``ids`` may give rows
+    with all snapshot ids where they are cheaper to read than from ``snapshots``.
 
     ``snapshots`` must hold one row for each (snapshot, key). NULL values give cells of their own."""
     snapshots = snapshots.select(snapshot, key, *fields)
-    ids = snapshots.select(F.col(snapshot).alias("_id")).where(F.col("_id").isNotNull()).distinct()
+    ids = (snapshots if ids is None else ids).select(F.col(snapshot).alias("_id")).where(F.col("_id").isNotNull()).distinct()
     # one row for each snapshot, so the order over all of them is small by nature
     order = ids.select("_id", F.lead("_id").over(Window.orderBy("_id")).alias("_next"), F.lag("_id").over(Window.orderBy("_id")).alias("_prev"))
     sided = (
@@ -60,14 +61,20 @@ def signed_cells(snapshots: DataFrame, snapshot: str, key: str, fields: Sequence
 
 
 def snapshot_changes(
-    snapshots: DataFrame, snapshot: str, key: str, fields: Sequence[str], decisive: str | None = None, fallback: Sequence[str] = ()
+    snapshots: DataFrame,
+    snapshot: str,
+    key: str,
+    fields: Sequence[str],
+    decisive: str | None = None,
+    fallback: Sequence[str] = (),
+    ids: DataFrame | None = None,
 ) -> DataFrame:
     """(pair, key, change, changed_fields) of each key that was added, removed or changed.
 
     ``decisive`` names a field that alone decides whether a key changed, as a digest does; if it is NULL on
     either side the ``fallback`` fields decide. Without it any field does. Keys that are NULL are ignored; an
     empty table, and a table with one snapshot, give no rows; the first snapshot is compared with nothing."""
-    cells = signed_cells(snapshots.where(F.col(key).isNotNull()), snapshot, key, fields)
+    cells = signed_cells(snapshots.where(F.col(key).isNotNull()), snapshot, key, fields, ids)
     sums = cells.groupBy("pair", "key", "field", "value").agg(F.sum("sign").alias("total"), F.count(F.lit(1)).alias("cells"))
 
     def differs(field: Column) -> Column:
@@ -114,5 +121,6 @@ def catalog_changes(catalog: DataFrame) -> DataFrame:
         ["file_hash", "file_size", "date_last_modified"],
         decisive="file_hash",
         fallback=["file_size", "date_last_modified"],
+        ids=catalog,
     )
     return found.select(F.col("pair").alias("snapshot_id"), F.col("key").alias("file_path"), "change", "changed_fields")
