@@ -281,6 +281,14 @@ def _stretches(matches: list[tuple[int, int]]) -> list[tuple[int, int]]:
 _INDEXES: dict[str, ItemIndex] = {}
 
 
+def _index(name: str, sent) -> ItemIndex:
+    """The worker's index of a block of items, kept for the tasks to come."""
+    if name not in _INDEXES:
+        _INDEXES.clear()
+        _INDEXES[name] = ItemIndex(sent.value)
+    return _INDEXES[name]
+
+
 def leaked_items(
     documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", share: float = SHARE
 ) -> DataFrame:
@@ -306,10 +314,7 @@ def _leaks_of_block(documents: DataFrame, key: str, text: str, block: list[tuple
     name = xxhash.xxh64_hexdigest(repr(block))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        if name not in _INDEXES:
-            _INDEXES.clear()
-            _INDEXES[name] = ItemIndex(sent.value)
-        index = _INDEXES[name]
+        index = _index(name, sent)
         for batch in batches:
             out = []
             for row, item, held in index.shares(batch["_text"].tolist()):
