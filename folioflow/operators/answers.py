@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from folioflow.operators.findings import text_or_blank
 
+# The headings of an answer's sections and the form of its links.
 SECTION_KEYS = {"Summary": "summary", "Metrics": "metrics", "Detail": "detail", "Gaps": "gaps", "Coverage": "coverage_audit"}
 ANCHOR = r'(<a href="[^"]+">\[(\d+)\]</a>)(?:\1)+'
 
@@ -20,11 +21,12 @@ def limited_texts(values: Column, most: int) -> Column:
 def softened(text: Column) -> Column:
     """A guessed answer without its numbers: percentages, basis points and amounts become neutral phrases."""
     out = text_or_blank(text)
+    # fixed values: the patterns of numbers and the phrases that take their place
     for pattern, phrase in (
         (r"\b\d+(?:\.\d+)?\s*[–-]\s*\d+(?:\.\d+)?%", "a reported percentage range"),
         (r"\b\d+(?:\.\d+)?%", "a reported percentage"),
         (r"(?i)\b\d+(?:\.\d+)?\s*bps?\b", "a reported basis-point change"),
-        (r"(?i)\b(?:CAD|USD)\s*\d[\d,]*(?:\.\d+)?(?:\s*(?:million|billion|bn|mm))?\b", "a reported amount"),
+        (r"(?i)\b(?:CAD|USD|C\$|\$)\s*\d[\d,]*(?:\.\d+)?(?:\s*(?:million|billion|bn|mm))?\b", "a reported amount"),
         (r"(?i)\b\d[\d,]*(?:\.\d+)?\s*(?:million|billion|bn|mm)\b", "a reported amount"),
         (r"\s{2,}", " "),
     ):
@@ -52,8 +54,8 @@ def answer_sections(text: Column) -> Column:
 def gap_items(text: Column) -> Column:
     """Lines of the gaps section without their bullets; none if it says that there are none."""
     lines = F.transform(F.split(text_or_blank(text), r"\r\n|\r|\n"), lambda x: F.trim(F.regexp_replace(x, r"^[\s*-]+", "")))
-    kept = F.filter(lines, lambda x: x != "")
-    return F.when(F.lower(F.coalesce(F.get(kept, F.lit(0)), F.lit(""))).rlike(r"^\(?none"), F.array().cast("array<string>")).otherwise(kept)
+    none = text_or_blank(text).rlike(r"(?i)^\s*none\s+identified\.?\s*$")
+    return F.when(none, F.array().cast("array<string>")).otherwise(F.filter(lines, lambda x: x != ""))
 
 
 def without_repeated_anchors(text: Column) -> Column:

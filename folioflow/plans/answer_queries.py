@@ -195,7 +195,7 @@ def limited_facets(spark, d):
 @query(
     r"""SELECT page_result_id, sha256(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(raw_content, ''),
   '\b\d+(?:\.\d+)?\s*[–-]\s*\d+(?:\.\d+)?%', 'a reported percentage range', 'g'), '\b\d+(?:\.\d+)?%', 'a reported percentage', 'g'), '(?i)\b\d+(?:\.\d+)?\s*bps?\b', 'a reported basis-point change', 'g'),
-  '(?i)\b(?:CAD|USD)\s*\d[\d,]*(?:\.\d+)?(?:\s*(?:million|billion|bn|mm))?\b', 'a reported amount', 'g'), '(?i)\b\d[\d,]*(?:\.\d+)?\s*(?:million|billion|bn|mm)\b', 'a reported amount', 'g'), '\s{2,}', ' ', 'g'), ' ')) AS digest
+  '(?i)\b(?:CAD|USD|C\$|\$)\s*\d[\d,]*(?:\.\d+)?(?:\s*(?:million|billion|bn|mm))?\b', 'a reported amount', 'g'), '(?i)\b\d[\d,]*(?:\.\d+)?\s*(?:million|billion|bn|mm)\b', 'a reported amount', 'g'), '\s{2,}', ' ', 'g'), ' ')) AS digest
 FROM page_results"""
 )
 def softened_text(spark, d):
