@@ -104,8 +104,8 @@ def test_answers(spark):
 
 
 def test_context_and_selection(spark):
-    df = spark.createDataFrame([("src/2026/Q1/RBC/x/f.pdf",), ("f.pdf",), ("a/f.pdf",)], "p string").select(planning.path_context(F.col("p")).alias("c")).collect()
-    assert [tuple(r["c"]) for r in df] == [("src", "2026", "Q1", "RBC/x"), ("", "", "", ""), ("a", "", "", "")]
+    df = spark.createDataFrame([("src/2026/Q1/North/x/f.pdf",), ("f.pdf",), ("a/f.pdf",)], "p string").select(planning.path_context(F.col("p")).alias("c")).collect()
+    assert [tuple(r["c"]) for r in df] == [("src", "2026", "Q1", "North/x"), ("", "", "", ""), ("a", "", "", "")]
     files = spark.createDataFrame([("/a/x.pdf", "x.pdf"), ("/a/y.txt", "y.txt")], "file_path string, filename string")
     assert files.where(planning.selected(globs=["*.pdf"])).count() == 1 and files.where(planning.selected(paths=["/a/y.txt"])).count() == 1
 
