@@ -1,12 +1,12 @@
 """Evaluation texts leaking into training text.
 
-Every passage of a test item (a window of a few words, at each word) gets a SimHash fingerprint over its weighted
-shingles. Document windows of the same length are fingerprinted wherever enough of their weight can come from test items
-at all, which is a bound on the similarity and so loses nothing. The 64 bits are cut into blocks: two fingerprints within the
-radius agree in one block at least, so looking up each block finds all of them. Exact weighted-shingle
-similarity verifies the windows; the words of the item that the document then holds in order are counted.
+A passage that is held, however it was edited, leaves pairs of neighbouring words of the item in the document. The pairs of all
+items are indexed; an item whose pairs in a document are too few, or too scattered, to make up the share is passed over, which
+is a bound on the share and so loses nothing. For the others the words that the document holds in order are counted
+over the whole document, in stretches between whose words a few may be changed, added or dropped.
 
-Passages, not whole items, are fingerprinted because a document may hold two fifths of an item only."""
+Pairs, not fingerprints of windows, name the candidates because one changed word moves a short window's SimHash out of any radius that
+can be looked up. The fingerprints of the items' passages can still be looked up (``within_radius``)."""
 
 from __future__ import annotations
 
@@ -14,7 +14,7 @@ import html
 import re
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import repeat
 
 import numpy as np
@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 
 WINDOW = 8
 RADIUS, BLOCKS = 3, 4
-SIMILARITY = 0.6
 SHARE = 0.4
 #: Test items in one pass over the corpus; more are taken in further passes.
 ITEM_BLOCK = 5_000
@@ -93,23 +92,6 @@ def fingerprints(hashes: np.ndarray, weights: np.ndarray, at: np.ndarray, window
     return out
 
 
-def shingle_similarity(left: np.ndarray, right: np.ndarray, weights: dict[int, float], window: int) -> float:
-    """Weighted Jaccard similarity of the multisets of words and pairs of two windows given as hashes."""
-
-    def bag(h: np.ndarray) -> dict[int, float]:
-        found: dict[int, float] = {}
-        for x in h.tolist():
-            found[x] = found.get(x, 0.0) + weights.get(x, 1.0)
-        for a, b, x in zip(h.tolist(), h[1:].tolist(), _mix(h[:-1], h[1:]).tolist(), strict=False):
-            found[x] = found.get(x, 0.0) + (weights.get(a, 1.0) + weights.get(b, 1.0)) / 2
-        return found
-
-    a, b = bag(left), bag(right)
-    common = sum(min(w, b[x]) for x, w in a.items() if x in b)
-    total = sum(a.values()) + sum(b.values()) - common
-    return common / total if total else 0.0
-
-
 class ItemIndex:
     """The passages of a block of test items, by the blocks of their fingerprints."""
 
@@ -127,8 +109,13 @@ class ItemIndex:
         self.known = {word: k for k, word in enumerate(seen)}
         self.word_weights = np.array([np.log1p(len(items) / n) / np.log1p(len(items)) if len(items) > 1 else 1.0 for n in seen.values()] or [1.0], dtype=np.float32)
         self.word_hashes = np.array([_hash(word) for word in seen] or [0], dtype=np.uint64)
-        self.weight_of = dict(zip(self.word_hashes.tolist(), self.word_weights.tolist(), strict=True))
         self.texts = [np.array([self.known[w] for w in t], dtype=np.int64) for t in texts]
+        self._index_pairs()
+
+    @cached_property
+    def prints(self) -> np.ndarray:
+        """The fingerprints of the items' passages."""
+        window, blocks = self.window, self.blocks
         prints, owner, begin = [], [], []
         for k, ids in enumerate(self.texts):
             at = np.arange(max(0, len(ids) - window + 1))
@@ -136,27 +123,45 @@ class ItemIndex:
                 prints.append(fingerprints(self.word_hashes[ids], self.word_weights[ids], at, window))
                 owner.append(np.full(len(at), k))
                 begin.append(at)
-        self.prints = np.concatenate(prints) if prints else np.zeros(0, dtype=np.uint64)
+        found = np.concatenate(prints) if prints else np.zeros(0, dtype=np.uint64)
         self.owner = np.concatenate(owner) if owner else np.zeros(0, dtype=np.int64)
         self.begin = np.concatenate(begin) if begin else np.zeros(0, dtype=np.int64)
         self.order, self.offsets = [], []
         for block in range(blocks):
-            keys = self._keys(self.prints, block)
+            keys = self._keys(found, block)
             self.order.append(np.argsort(keys, kind="stable"))
             self.offsets.append(np.concatenate(([0], np.cumsum(np.bincount(keys, minlength=1 << self.bits)))))
-        self.pair_positions = []
-        for ids in self.texts:
-            at: dict[tuple[int, int], list[int]] = {}
-            for p, pair in enumerate(zip(ids[:-1].tolist(), ids[1:].tolist(), strict=True)):
+        return found
+
+    def _index_pairs(self) -> None:
+        """The word pairs of the items, which items have each and how often, and where each item has them. Items of fewer words than a window have none."""
+        self.sizes = np.array([len(t) for t in self.texts], dtype=np.int64)
+        long = [t if len(t) >= self.window else t[:0] for t in self.texts]
+        keys = [self._pair_keys(t) for t in long]
+        joined = np.concatenate([np.zeros(0, dtype=np.int64), *keys])
+        self.pairs, ids = np.unique(joined, return_inverse=True)
+        owner = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
+        held, self.times = np.unique(ids * max(len(keys), 1) + owner, return_counts=True)
+        self.having = held % max(len(keys), 1)
+        self.first = np.searchsorted(held // max(len(keys), 1), np.arange(len(self.pairs) + 1))
+        self.pair_positions: list[dict[int, list[int]]] = []
+        low = 0
+        for k in keys:
+            at: dict[int, list[int]] = {}
+            for p, pair in enumerate(ids[low : low + len(k)].tolist()):
                 at.setdefault(pair, []).append(p)
             self.pair_positions.append(at)
+            low += len(k)
+
+    def _pair_keys(self, ids: np.ndarray) -> np.ndarray:
+        return ids[:-1] * len(self.known) + ids[1:]
 
     def _keys(self, prints: np.ndarray, block: int) -> np.ndarray:
         return ((prints >> np.uint64(block * self.bits)) & np.uint64((1 << self.bits) - 1)).astype(np.int64)
 
     def within_radius(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(query, passage) pairs of all fingerprints within the radius."""
-        found = []
+        found, own = [], self.prints
         for block in range(self.blocks):
             keys = self._keys(prints, block)
             low, high = self.offsets[block][keys], self.offsets[block][keys + 1]
@@ -164,86 +169,91 @@ class ItemIndex:
             query = np.repeat(np.arange(len(prints)), sizes)
             within = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             passage = self.order[block][np.repeat(low, sizes) + within]
-            near = np.bitwise_count(prints[query] ^ self.prints[passage]) <= self.radius
+            near = np.bitwise_count(prints[query] ^ own[passage]) <= self.radius
             found.append(np.stack([query[near], passage[near]]))
         both = np.unique(np.concatenate(found, axis=1), axis=1)
         return both[0], both[1]
 
-    def promising(self, ids: np.ndarray) -> np.ndarray:
-        """Where windows begin that can reach the similarity: enough of their weight are words of test items.
-
-        ``ids``: -1 for words that no item has, -2 between documents, which no window spans."""
-        window = self.window
-        if len(ids) < window or len(self.prints) == 0:
-            return np.zeros(0, dtype=np.int64)
-        weights = self.word_weights[np.maximum(ids, 0)].astype(np.float64)
-        unknown = np.where(ids < 0, np.where(ids == -2, 1e6, 1.0), 0.0)
-        usable = np.concatenate(([0.0], np.cumsum(np.where(ids < 0, 0.0, weights))))
-        lost = np.concatenate(([0.0], np.cumsum(unknown)))
-        usable, lost = usable[window:] - usable[:-window], lost[window:] - lost[:-window]
-        return np.flatnonzero(usable >= SIMILARITY * (usable + lost) - 1e-6)
-
-    def candidates(self, ids: np.ndarray, text: list[bytes]) -> dict[int, list[int]]:
-        """The positions of verified windows of one document, by item."""
-        window, at = self.window, self.promising(ids)
-        if len(at) == 0:
-            return {}
-        known = ids >= 0
-        weights = np.where(known, self.word_weights[np.maximum(ids, 0)], np.float32(1.0))
-        hashes = self.word_hashes[np.maximum(ids, 0)]
-        needed = np.zeros(len(ids) + 1, dtype=np.int64)
-        np.add.at(needed, at, 1)
-        np.add.at(needed, np.minimum(at + window, len(ids)), -1)
-        for p in np.flatnonzero((np.cumsum(needed)[:-1] > 0) & ~known).tolist():
-            hashes[p] = _hash(text[p])
-        query, passage = self.within_radius(fingerprints(hashes, weights.astype(np.float32), at, window))
-        found: dict[int, list[int]] = {}
-        for q, p in zip(query.tolist(), passage.tolist(), strict=True):
-            item, start, b = int(self.owner[p]), int(at[q]), int(self.begin[p])
-            if item in found and start - found[item][-1] <= window:
-                found[item][-1] = start  # a verified window beside it marks the place already
-                continue
-            other = self.word_hashes[self.texts[item][b : b + window]]
-            mine = hashes[start : start + window]
-            if np.array_equal(mine, other) or shingle_similarity(mine, other, self.weight_of, window) >= SIMILARITY:
-                found.setdefault(item, []).append(start)
-        return found
-
-    def shares(self, texts: list[str]) -> Iterator[tuple[int, int, float]]:
-        """(text, item, share of the item's words held) of the texts with a verified window."""
+    def pairs_at(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where word pairs of items begin in a text, and which they are. ``ids``: -1 for words that no item has, -2 between documents."""
+        at = np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0))
+        if len(at) == 0 or len(self.pairs) == 0:
+            return at[:0], at[:0]
+        keys = ids[at] * len(self.known) + ids[at + 1]
+        slots = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
+        hit = self.pairs[slots] == keys
+        return at[hit], slots[hit]
+
+    def fewest(self, share: float) -> np.ndarray:
+        """Of each item the fewest places of its pairs that a document with the share has: a stretch of m pairs spans 4 m - 2 words at
+        most (GAP + 2 from pair to pair) and two stretches may have one place in common, so a place stands for 4.5 words at most."""
+        return np.maximum(STRETCH, np.ceil(share * self.sizes / (GAP + 2.5) - 1e-9)).astype(np.int64)
+
+    def candidates(self, rows: np.ndarray, pairs: np.ndarray, fewest: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(text, item) with enough places of the item's pairs, from the texts' pairs; ``rows`` ascends."""
+        distinct = np.unique(rows * len(self.pairs) + pairs)
+        rows, pairs = distinct // max(len(self.pairs), 1), distinct % max(len(self.pairs), 1)
+        low = self.first[pairs]
+        sizes = self.first[pairs + 1] - low
+        ends = np.cumsum(sizes)
+        begin = 0
+        while begin < len(rows):
+            # whole texts at a time, some million postings of them
+            stop = int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + 2_000_000, side="right"))
+            last = rows[min(stop, len(rows) - 1)]
+            stop = len(rows) if stop >= len(rows) else int(np.searchsorted(rows, last))
+            if stop <= begin:
+                stop = int(np.searchsorted(rows, rows[begin], side="right"))
+            cut = slice(begin, stop)
+            n = sizes[cut]
+            post = np.repeat(low[cut], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            keys, inverse = np.unique(np.repeat(rows[cut], n) * len(self.texts) + self.having[post], return_inverse=True)
+            places = np.bincount(inverse, self.times[post])
+            enough = keys[places >= fewest[keys % len(self.texts)]]
+            yield from zip((enough // len(self.texts)).tolist(), (enough % len(self.texts)).tolist(), strict=True)
+            begin = stop
+
+    def shares(self, texts: list[str], least: float = 0.0) -> Iterator[tuple[int, int, float]]:
+        """(text, item, share of the item's words held) of the texts that hold ``least`` at least, and maybe of some that hold less."""
         known, block = self.known.get, 2_000_000
+        fewest = self.fewest(least)
         low = 0
         while low < len(texts):
-            found, parts, high, size = [], [], low, 0
+            parts, high, size = [], low, 0
             while high < len(texts) and (high == low or size + len(texts[high]) <= block):
-                found.append(words(texts[high]))
-                parts.append(np.fromiter(map(known, found[-1], repeat(-1)), dtype=np.int64, count=len(found[-1])))
-                parts.append(np.array([-2]))
+                found = words(texts[high])
+                parts += [np.fromiter(map(known, found, repeat(-1)), dtype=np.int64, count=len(found)), np.array([-2])]
                 size, high = size + len(texts[high]), high + 1
-            begins = np.concatenate(([0], np.cumsum([len(f) + 1 for f in found])))
-            for k in np.unique(np.searchsorted(begins, self.promising(np.concatenate(parts)), side="right") - 1).tolist():
-                for item, near in self.candidates(parts[2 * k], found[k]).items():
-                    yield low + k, item, self.held_share(item, parts[2 * k], near)
+            begins = np.concatenate(([0], np.cumsum([len(p) + 1 for p in parts[::2]])))
+            at, pairs = self.pairs_at(np.concatenate(parts))
+            rows = np.searchsorted(begins, at, side="right") - 1
+            first = np.searchsorted(rows, np.arange(high - low + 1))
+            for k, item in self.candidates(rows, pairs, fewest):
+                here = slice(int(first[k]), int(first[k + 1]))
+                if held := self.held_share(item, at[here], pairs[here], int(fewest[item])):
+                    yield low + k, item, held
             low = high
 
-    def held_share(self, item: int, ids: np.ndarray, near: list[int]) -> float:
-        """Share of the item's words that the document holds in order around the positions ``near``."""
-        n = len(self.texts[item])
-        pairs = self.pair_positions[item]
-        regions: list[list[int]] = []
-        for p in sorted(near):
-            low, high = max(0, p - n), min(len(ids), p + self.window + n)
-            if regions and low <= regions[-1][1]:
-                regions[-1][1] = max(regions[-1][1], high)
-            else:
-                regions.append([low, high])
-        matches = []
-        for low, high in regions:
-            part = ids[low:high].tolist()
-            for k in range(len(part) - 1):
-                for p in pairs.get((part[k], part[k + 1]), ()):
-                    matches.append((low + k, p))
-        return sum(e - b for b, e in _stretches(matches)) / n if n else 0.0
+    def held_share(self, item: int, at: np.ndarray, pairs: np.ndarray, fewest: int = STRETCH) -> float:
+        """Share of the item's words that a document holds in order, from the item pairs in it; 0 if they are fewer than ``fewest``."""
+        positions, mask = self.pair_positions[item], self._mask
+        own = np.fromiter(positions, dtype=np.int64, count=len(positions))
+        mask[own] = True
+        hit = mask[pairs]
+        mask[own] = False
+        at, pairs = at[hit], pairs[hit]
+        # pairs further apart are of no one stretch, and too few are no stretch
+        starts = np.flatnonzero(np.diff(at, prepend=-(10**9)) > GAP + 2)
+        sizes = np.diff(np.append(starts, len(at)))
+        near = np.repeat(sizes >= STRETCH, sizes)
+        if np.count_nonzero(near) < fewest:
+            return 0.0
+        matches = [(d, p) for d, pair in zip(at[near].tolist(), pairs[near].tolist(), strict=True) for p in positions[pair]]
+        return sum(e - b for b, e in _stretches(matches)) / int(self.sizes[item])
+
+    @cached_property
+    def _mask(self) -> np.ndarray:
+        return np.zeros(len(self.pairs), dtype=bool)
 
 
 def _stretches(matches: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -317,7 +327,7 @@ def _leaks_of_block(documents: DataFrame, key: str, text: str, block: list[tuple
         index = _index(name, sent)
         for batch in batches:
             out = []
-            for row, item, held in index.shares(batch["_text"].tolist()):
+            for row, item, held in index.shares(batch["_text"].tolist(), share):
                 if held >= share - 1e-9:
                     out.append((batch["_key"].iloc[row], index.ids[item], held))
             yield pd.DataFrame(out, columns=[f.split()[0] for f in schema.split(", ")])

@@ -81,3 +81,21 @@ def test_edges(spark):
     assert sorted((str(r["doc_id"]), r["item_id"]) for r in got) == sorted([("None", None), (str(2**60 + 1), None), ("6", None)])
     assert lk.leaked_items(d, items.limit(0)).count() == 0
     assert lk.leaked_items(d.limit(0), items).count() == 0
+
+
+def test_a_word_in_six_changed_added_or_dropped(spark):
+    rng = random.Random(6)
+    items = [(i, item(rng)) for i in range(30)]
+    rows, want = [], set()
+    for k in range(60):
+        i, text = items[k % 30]
+        quote = text.split()
+        for p in range(len(quote) - 4, 0, -6):
+            quote[p : p + 1] = ([], ["changed"], [quote[p], "added"])[k % 3]
+        half = len(quote) // 2 if k % 2 else len(quote)  # the second half far off
+        rows.append((k, " ".join([*quote[:half], *(["filler"] * 500), *quote[half:]])))
+        want.add((k, i))
+    d = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"]): r["share"] for r in lk.leaked_items(d, spark.createDataFrame(items, "item_id bigint, text string")).collect()}
+    assert set(got) == want
+    assert min(got.values()) > 0.8
