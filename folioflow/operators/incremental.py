@@ -80,11 +80,12 @@ class IncrementalRun:
         runs = [f"{self.folder}/output/run={c['run']}" for c in self.commits()]
         return self.spark.read.parquet(*runs) if runs else None
 
-    def run(self, source: DataFrame, step: Callable[[DataFrame], DataFrame], oldest_open=None) -> str:
+    def run(self, source: DataFrame, step: Callable[[DataFrame], DataFrame], oldest_open=None, whole: bool = False) -> str:
         """Process what is new. ``oldest_open``: when the oldest transaction now open began, or now if none is; the next
-        run rereads from there. None rereads everything, which is slower but never wrong."""
+        run rereads from there. None rereads everything, which is slower but never wrong. ``whole``: the source holds each record once
+        only, however old, as a stream's batch does, so none is passed over by its time."""
         commits = self.commits()
-        since = commits[-1]["oldest_open"] if commits else None
+        since = commits[-1]["oldest_open"] if commits and not whole else None
         run = uuid.uuid4().hex
         batch = next_batch(source, self.ledger(commits, source), self.key, self.version, self.committed_at, since)
         pending = f"{self.folder}/batch/run={run}"
