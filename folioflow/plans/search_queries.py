@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from folioflow.functions.vectors import cosine_distance
 from folioflow.operators import expand, fusion, lexical, store, vector
-from folioflow.session import table
+from folioflow.session import small_side, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -52,6 +52,17 @@ def vec_distance(spark, d):
     return e.join(F.broadcast(q)).select("vec_id", "label", F.round(cosine_distance(F.col("embedding"), F.col("q")), 6).alias("distance"))  # q: one row
 
 
+@query(
+    """SELECT q.vec_id AS query, e.vec_id AS unit, round(list_cosine_distance(e.embedding::DOUBLE[], q.embedding::DOUBLE[]), 6) AS distance
+FROM embeddings e JOIN embeddings q ON len(q.embedding) = len(e.embedding) WHERE q.vec_id % 100 = 0"""
+)
+def vec_distance_all(spark, d):
+    """R01 as an expression, for every query vector."""
+    content, asked = _vectors(spark, d)
+    pairs = content.join(small_side(asked.select("query", F.col("vector").alias("q"))), F.size("vector") == F.size("q"))
+    return pairs.select("query", "unit", F.round(cosine_distance(F.col("vector"), F.col("q")), 6).alias("distance"))
+
+
 @query(
     f"""{_TOPK}, n AS (SELECT query, unit, (1 - distance / max(distance) OVER (PARTITION BY query)) / 5 AS part FROM top WHERE query IN (0, 100, 200, 300, 400))
 SELECT unit, round(sum(part), 6) AS score FROM n GROUP BY 1"""
@@ -64,6 +75,21 @@ def vec_topk_multi(spark, d):
     return top.withColumn("part", part).groupBy("unit").agg(F.round(F.sum("part"), 6).alias("score"))
 
 
+@query(
+    f"""{_TOPK}, g AS (SELECT vec_id // 500 AS questions, count(*) AS parts FROM embeddings WHERE vec_id % 100 = 0 GROUP BY 1),
+n AS (SELECT query // 500 AS questions, unit, 1 - distance / max(distance) OVER (PARTITION BY query) AS v FROM top)
+SELECT questions, unit, round(sum(v / parts), 6) AS score FROM n JOIN g USING (questions) GROUP BY 1, 2"""
+)
+def vec_topk_multi_all(spark, d):
+    """All query vectors in groups of five sub-queries (the last may have fewer), each normalised alone, with equal parts of the weight."""
+    content, asked = _vectors(spark, d)
+    group = F.floor(F.col("query") / 500).alias("questions")
+    parts = asked.groupBy(group).agg(F.count(F.lit(1)).alias("parts"))
+    value = 1 - F.col("distance") / F.max("distance").over(Window.partitionBy("query"))
+    scored = vector.nearest(content, asked).select(group, "unit", value.alias("v")).join(parts, "questions")
+    return scored.groupBy("questions", "unit").agg(F.round(F.sum(F.col("v") / F.col("parts")), 6).alias("score"))
+
+
 @query(
     """WITH s AS (SELECT label, round(list_cosine_distance(list(embedding ORDER BY vec_id)[1]::DOUBLE[], (SELECT embedding FROM embeddings WHERE vec_id = 0)::DOUBLE[]), 9) AS distance FROM embeddings GROUP BY 1),
 n AS (SELECT label, CASE WHEN max(distance) OVER () = 0 THEN 1 ELSE 1 - distance / max(distance) OVER () END AS v FROM s)
@@ -81,6 +107,25 @@ def section_spread(spark, d):
     return e.join(scored, "label").groupBy(F.col("vec_id").alias("unit")).agg(F.round(F.max("v"), 6).alias("score"))
 
 
+@query(
+    """WITH sec AS (SELECT label, arg_min(embedding, vec_id) AS vector FROM embeddings GROUP BY 1),
+s AS (SELECT q.vec_id AS query, sec.label, round(list_cosine_distance(vector::DOUBLE[], q.embedding::DOUBLE[]), 9) AS distance FROM sec JOIN embeddings q ON len(q.embedding) = len(vector) WHERE q.vec_id % 100 = 0),
+n AS (SELECT query, label, CASE WHEN max(distance) OVER (PARTITION BY query) = 0 THEN 1 ELSE 1 - distance / max(distance) OVER (PARTITION BY query) END AS v FROM s)
+SELECT n.query, e.vec_id AS unit, round(max(n.v), 6) AS score FROM embeddings e JOIN n USING (label) GROUP BY 1, 2"""
+)
+def section_spread_all(spark, d):
+    """As ``section_spread``, for every query vector."""
+    _, asked = _vectors(spark, d)
+    e = table(spark, d, "embeddings")
+    sections = e.groupBy("label").agg(F.min_by("embedding", "vec_id").alias("section"))
+    near = sections.join(small_side(asked), F.size("section") == F.size("vector"))
+    near = near.select("query", "label", F.round(cosine_distance(F.col("section"), F.col("vector")), 9).alias("distance"))
+    top = near.groupBy("query").agg(F.max("distance").alias("m"))
+    value = F.when(F.col("m") == 0, 1.0).otherwise(1 - F.col("distance") / F.col("m"))
+    scored = near.join(top, "query").select("query", "label", value.alias("v"))
+    return e.join(scored, "label").groupBy("query", F.col("vec_id").alias("unit")).agg(F.round(F.max("v"), 6).alias("score"))
+
+
 _BM25_TERMS = "(VALUES (1, 'net'), (1, 'interest'), (1, 'margin'), (2, 'cet1'), (2, 'ratio'), (3, 'liquidity'), (4, 'deposit'), (4, 'volumes')) q(query_id, term)"
 
 
@@ -102,6 +147,22 @@ def bm25(spark, d):
     return lexical.bm25(table(spark, d, "documents"), _bm25_queries(spark), "doc_id", "text", None).withColumn("score", F.round("score", 6))
 
 
+@query(
+    """WITH q AS (SELECT DISTINCT item_id AS query_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]+')) AS term FROM eval_items),
+t AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]+') AS tokens FROM documents),
+n AS (SELECT count(*) AS n, avg(len(tokens)) AS m FROM t),
+p AS (SELECT doc_id, len, term, count(*) AS tf FROM (SELECT doc_id, len(tokens) AS len, unnest(tokens) AS term FROM t) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+f AS (SELECT term, count(*) AS df FROM p GROUP BY 1),
+s AS (SELECT q.query_id, p.doc_id, sum(ln(1 + (n.n - f.df + 0.5) / (f.df + 0.5)) * p.tf * 2.2 / (p.tf + 1.2 * (0.25 + 0.75 * p.len / n.m))) AS score
+  FROM p JOIN q USING (term) JOIN f USING (term) CROSS JOIN n GROUP BY ALL)
+SELECT query_id, doc_id, round(score, 6) AS score, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc_id) AS rank FROM s"""
+)
+def bm25_items(spark, d):
+    """Okapi BM25 of the benchmark texts over all documents."""
+    asked = table(spark, d, "eval_items").select(F.col("item_id").alias("query_id"), lexical.terms_of(F.col("text")).alias("terms"))
+    return lexical.bm25(table(spark, d, "documents"), asked, "doc_id", "text", None).withColumn("score", F.round("score", 6))
+
+
 @query(
     """WITH k AS (SELECT page_result_id, trim(regexp_replace(regexp_replace(unnest(coalesce(keywords, []) || coalesce(entities, [])), '[^A-Za-z0-9]+', ' ', 'g'), ' +', ' ', 'g')) AS t,
     generate_subscripts(coalesce(keywords, []) || coalesce(entities, []), 1) AS i FROM page_results),
@@ -241,6 +302,16 @@ def neighbors(spark, d):
     return expand.neighbours(u, u.where("page_result_id % 100 = 0")).select("document_version_id", "trigger", "content_unit_id", "place")
 
 
+@query(
+    f"""WITH {_UNITS} SELECT t.document_version_id, t.content_unit_id AS trigger, o.content_unit_id, o.place FROM o t JOIN o
+ON o.document_version_id = t.document_version_id AND o.place BETWEEN t.place - 4 AND t.place + 4"""
+)
+def neighbors_all(spark, d):
+    """The neighbours of every unit."""
+    u = _units(spark, d)
+    return expand.neighbours(u, u).select("document_version_id", "trigger", "content_unit_id", "place")
+
+
 _SECTIONS = f"""{_UNITS},
 sec AS (SELECT document_version_id, section_id, sum(coalesce(token_count, 0)) AS tokens, CASE WHEN contains(section_id, '.') THEN split_part(section_id, '.', 1) ELSE '' END AS parent
   FROM u WHERE coalesce(section_id, '') <> '' GROUP BY 1, 2),
@@ -286,6 +357,59 @@ def dedup_prefer_original(spark, d):
     return expand.deduplicated(expand_hits(spark, d)).drop("triggers")
 
 
+_EXPANDED_ALL = _EXPANDED.replace(" WHERE page_result_id % 100 = 0", "")
+
+
+@query(f"WITH {_EXPANDED_ALL} SELECT document_version_id, trigger, strategy, content_unit_id, CASE WHEN trigger = content_unit_id THEN score ELSE 0 END AS score, trigger = content_unit_id AS is_original FROM x")
+def expand_hits_all(spark, d):
+    """Every unit as a hit."""
+    planned = _planned(spark, d)
+    return expand.expanded(planned, planned.withColumn("score", F.col("page_result_id") / 1000.0))
+
+
+@query(f"WITH {_EXPANDED_ALL} SELECT document_version_id, content_unit_id, bool_or(trigger = content_unit_id) AS is_original, max(CASE WHEN trigger = content_unit_id THEN score ELSE 0 END) AS score FROM x GROUP BY 1, 2")
+def dedup_prefer_original_all(spark, d):
+    """R18, A12"""
+    return expand.deduplicated(expand_hits_all(spark, d)).drop("triggers")
+
+
+_FOUND = f"""{_NORMAL}, {_SECTIONS},
+hit AS (SELECT s.query_id, p.*, f.score FROM (SELECT DISTINCT query_id, document_version_id, content_unit_id FROM search_results) s
+  JOIN plan p ON p.document_version_id = s.document_version_id AND p.content_unit_id = s.content_unit_id JOIN f ON f.query_id = s.query_id AND f.content_unit_id = s.content_unit_id),
+x AS (SELECT h.query_id, h.document_version_id, h.content_unit_id AS trigger, h.strategy, p.content_unit_id, h.score FROM hit h JOIN plan p ON p.document_version_id = h.document_version_id AND p.root = h.root WHERE h.strategy = 'full_section'
+  UNION ALL SELECT h.query_id, h.document_version_id, h.content_unit_id, h.strategy, p.content_unit_id, h.score FROM hit h JOIN plan p ON p.document_version_id = h.document_version_id AND p.section_id = h.section_id WHERE h.strategy = 'subsection'
+  UNION ALL SELECT h.query_id, h.document_version_id, h.content_unit_id, h.strategy, o.content_unit_id, h.score FROM hit h JOIN o t ON t.page_result_id = h.page_result_id
+    JOIN o ON o.document_version_id = t.document_version_id AND o.place BETWEEN t.place - 4 AND t.place + 4 WHERE h.strategy = 'neighbours')"""
+
+
+def _expanded_found(spark, d):
+    """The expansions of the units that were hit, with the queries that hit them and their fused scores."""
+    hits, planned, keys = table(spark, d, "search_results"), _planned(spark, d), ["document_version_id", "content_unit_id"]
+    asked = hits.select("query_id", *keys).distinct().join(fusion.fused(hits).select("query_id", "content_unit_id", F.col("score").alias("_score")), ["query_id", "content_unit_id"])
+    around = expand.expanded(planned, planned.join(hits.select(*keys).distinct(), keys, "left_semi").withColumn("score", F.lit(1.0)))
+    rows = around.join(asked.withColumnRenamed("content_unit_id", "trigger"), ["document_version_id", "trigger"])
+    return rows.withColumn("score", F.when(F.col("is_original"), F.col("_score")).otherwise(0.0)).drop("_score")
+
+
+@query(
+    f"""WITH {_FOUND} SELECT query_id, document_version_id, trigger, strategy, content_unit_id, round(CASE WHEN trigger = content_unit_id THEN score ELSE 0 END, 6) AS score,
+trigger = content_unit_id AS is_original FROM x"""
+)
+def expand_search_hits(spark, d):
+    """The hits of search_results with their fused scores, by query."""
+    return _expanded_found(spark, d).withColumn("score", F.round("score", 6))
+
+
+@query(
+    f"""WITH {_FOUND} SELECT query_id, document_version_id, content_unit_id, bool_or(trigger = content_unit_id) AS is_original,
+round(max(CASE WHEN trigger = content_unit_id THEN score ELSE 0 END), 6) AS score FROM x GROUP BY 1, 2, 3"""
+)
+def dedup_search_hits(spark, d):
+    """By query."""
+    rows = _expanded_found(spark, d).groupBy("query_id", "document_version_id", "content_unit_id")
+    return rows.agg(F.bool_or("is_original").alias("is_original"), F.round(F.max("score"), 6).alias("score"))
+
+
 @query("SELECT document_version_id, content_unit_id, count(*) AS n FROM (SELECT document_version_id, coalesce(nullif(chunk_id, ''), page_number::VARCHAR) AS content_unit_id FROM page_results) GROUP BY ALL HAVING count(*) > 1")
 def duplicate_units(spark, d):
     """A11"""
