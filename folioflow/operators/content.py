@@ -110,6 +110,60 @@ def markdown_chunks(pages: DataFrame, key: Sequence[str], text: str, breaks=head
     )
 
 
+def word_count(text: Column) -> Column:
+    """The number of longest runs of characters other than white space."""
+    return F.size(F.filter(F.split(text, r"[ \t\r\n]+"), lambda w: w != ""))
+
+
+def packed_breaks(limit: int, count=word_count):
+    """The offline provider for pieces over the limit: as many whole lines to a piece as the limit holds."""
+
+    def breaks(lines: Column) -> Column:
+        sizes = F.transform(lines, lambda x, i: F.struct(count(x).alias("n"), (i + 1).alias("at")))
+        none = F.struct(F.lit(0).alias("total"), F.array().cast("array<int>").alias("breaks"))
+
+        def add(state: Column, line: Column) -> Column:
+            over = (state["total"] > 0) & (state["total"] + line["n"] > limit)
+            return F.struct(
+                F.when(over, line["n"]).otherwise(state["total"] + line["n"]).alias("total"),
+                F.when(over, F.concat(state["breaks"], F.array(line["at"]))).otherwise(state["breaks"]).alias("breaks"),
+            )
+
+        return F.aggregate(sizes, none, add, lambda state: state["breaks"])
+
+    return breaks
+
+
+def chunks_within(pages: DataFrame, key: Sequence[str], text: str, limit: int = EMBEDDING_LIMIT, breaks=heading_breaks, again=None, retries: int = 2, count=word_count) -> DataFrame:
+    """(key, chunk_no, chunk_text, token_count) of each page: split at its breakpoints, recounted, and what is over the limit split
+    again at those of ``again`` up to ``retries`` times. A piece that is then still over the limit, as one long line, is an error."""
+    again = again or packed_breaks(limit, count)
+
+    def pieces(body: Column, at) -> Column:
+        return F.transform(split_at(F.split(body, r"\r\n|\r|\n"), at), lambda p: p["text"])
+
+    rows = pages.select(*key, pieces(F.coalesce(text, F.lit("")), breaks).alias("_chunks"))
+    for _ in range(retries):
+        rows = rows.withColumn("_chunks", F.flatten(F.transform("_chunks", lambda c: F.when(count(c) > limit, pieces(c, again)).otherwise(F.array(c)))))
+    rows = rows.select(*key, F.posexplode("_chunks").alias("_i", "chunk_text")).withColumn("_n", count(F.col("chunk_text")))
+    error = F.raise_error(F.format_string(f"a chunk of %d tokens is over the limit of {limit} after {retries} retries", F.col("_n"))).cast("int")
+    return rows.select(*key, (F.col("_i") + 1).alias("chunk_no"), "chunk_text", F.when(F.col("_n") > limit, error).otherwise(F.col("_n")).alias("token_count"))
+
+
+def regions_to_extract(regions: Column, skipped: Sequence[str] = ("legend",)) -> Column:
+    """Those of an array of (region_type, requires_region_extraction) that are cut out and read on their own."""
+    return F.filter(regions, lambda r: F.coalesce(r["requires_region_extraction"], F.lit(False)) & ~F.lower(F.coalesce(r["region_type"], F.lit(""))).isin(*skipped))
+
+
+def preview_sizes(most: int) -> list[int]:
+    """The sizes in tokens of the previews of a judge's attempts, each smaller than the one before."""
+    return list(dict.fromkeys([most, max(60, most // 2), max(40, most // 3)]))
+
+
+def preview(text: Column, tokens: int) -> Column:
+    return F.when(F.length(text) > tokens * 4, F.concat(F.substring(text, 1, tokens * 4), F.lit("..."))).otherwise(text)
+
+
 def sheet_parts(text: Column) -> Column:
     """Struct of a sheet's markdown: heading, header row, separator, numbered rows (row_no, line), block quotes after the first of which
     rows no longer count."""
