@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Iterable, Iterator
 from decimal import ROUND_HALF_UP, Decimal
 from functools import lru_cache
 from typing import NamedTuple
@@ -203,14 +204,50 @@ def _tails(name: str) -> list[str]:
     return [name[m.end() :] for m in re.finditer(r"[,–—:]\s+|\s-\s+", name)]
 
 
-def places(value_rest: str, unit: str | None, name: str | None, location: str | None, finding: str | None) -> list[list[str]]:
+#: Most words on either side of a value, and after a cue, that are tried as its unit.
+BESIDE = 5
+
+
+def _unit_prefix(words: list[str], dimension: str | None) -> list[str]:
+    """The longest run of first words that states a unit, in a list of its own; empty if there is none."""
+    for n in range(min(len(words), BESIDE), 0, -1):
+        text = " ".join(words[:n]).rstrip(".,;:)")
+        if (u := segment(text, dimension)) is not None and (u.scale is not None or u.root is not None):
+            return [text]
+    return []
+
+
+def _beside(text: str, number: Decimal, dimension: str | None) -> list[str]:
+    """What states a unit around the first place of the text that gives the number: as many of the words beside it as parse."""
+    for found in NUMBER.finditer(text):
+        if parse_number(found.group()) != abs(number):
+            continue
+        before, after = text[: found.start()], text[found.end() :]
+        # words of another clause or number are not beside it
+        left = re.split(r"[.,;:()](?:\s|$)|\d", before)[-1].split()[-BESIDE:]
+        right = re.split(r"[.,;:()](?:\s|$)|\d", after)[0].split()[:BESIDE]
+        cuts = sorted(((a, b) for a in range(len(left) + 1) for b in range(len(right) + 1) if a + b), key=lambda c: (-sum(c), c[0]))
+        for a, b in cuts:
+            span = " ".join([*left[len(left) - a :], *right[:b]])
+            if (u := segment(span, dimension)) is not None and (u.scale is not None or u.root is not None):
+                return [span]
+    return []
+
+
+def places(value_rest: str, unit: str | None, name: str | None, location: str | None, finding: str | None, number: Decimal | None = None) -> list[Iterable[str]]:
     """The texts that may state a unit, place by place in the order in which they prevail."""
     def clean(text: str | None) -> str:
         return unicodedata.normalize("NFKC", text or "").strip()
 
-    def cued(text: str | None) -> list[str]:
-        found = CUE.search(clean(text))
-        return [found.group(1).strip().removesuffix(")").strip().removesuffix("."), found.group(1).strip().removesuffix(")")] if found else []
+    def cued(text: str | None) -> Iterator[str]:
+        found, dimension = CUE.search(clean(text)), field_dimension(name)
+        if found:
+            yield found.group(1).strip().removesuffix(")").strip().removesuffix(".")
+            yield found.group(1).strip().removesuffix(")")
+            # more text follows the unit
+            yield from _unit_prefix(found.group(1).split(), dimension)
+        if number is not None:
+            yield from _beside(clean(text), number, dimension)
 
     # the abbreviation that belongs to the name itself states no unit
     own = re.sub(r"^(Employees) \(FTE\)", r"\1", clean(name))
@@ -227,7 +264,7 @@ def common_amount(value: str | None, unit: str | None, name: str | None, locatio
     number, rest = parsed
     dimension = field_dimension(name)
     scale = root = None
-    for at, texts in enumerate(places(rest, unit, name, location, finding)):
+    for at, texts in enumerate(places(rest, unit, name, location, finding, number)):
         read = next((u for t in texts if t and (u := segment(t, dimension)) is not None), None)
         if read is None:
             if at == 0 and rest:
@@ -235,6 +272,8 @@ def common_amount(value: str | None, unit: str | None, name: str | None, locatio
             continue
         scale = read.scale if scale is None else scale
         root = read.root if root is None else root
+        if root is not None and (scale is not None or root[1] not in (MONEY, COUNT)):
+            break  # later places state nothing that counts
     if root is None:
         if scale is None or dimension != COUNT:
             return None

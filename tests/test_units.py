@@ -58,3 +58,17 @@ def test_operator_edges(spark):
     got = common_units(spark.createDataFrame(rows, schema)).collect()
     assert sorted((str(r[0]), r[1], r[2]) for r in got) == sorted([(str(big), "ppm", 50000), ("None", "ppm", 50000), ("3", "ppm", 50000), ("3", "ppm", 50000)])
     assert common_units(spark.createDataFrame([], schema)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "fields,want",
+    [
+        (("12", None, "Total deposits", "Table 4", "Deposits rose to CAD 12 million in 2025."), ("CAD", 12000000)),
+        (("12", None, "Total deposits", "Amounts in CAD millions, except per share", "x"), ("CAD", 12000000)),
+        (("12", None, "CET1 ratio", "x", "It was 12 % after 11 bps of growth"), ("ppm", 120000)),
+        (("12", None, "Total deposits", "x", "Deposits rose from USD 11 million to 12"), None),
+        (("12", None, "Total deposits", "x", "Amounts in migration, except per share"), None),
+    ],
+)
+def test_units_beside_the_value_and_before_more_text(fields, want):
+    assert common_amount(*fields) == want
