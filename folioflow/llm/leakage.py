@@ -1,12 +1,11 @@
 """Evaluation texts leaking into training text.
 
-A passage that is held, however it was edited, leaves pairs of neighbouring words of the item in the document. The pairs of all
-items are indexed; an item whose pairs in a document are too few, or too scattered, to make up the share is passed over, which
-is a bound on the share and so loses nothing. For the others the words that the document holds in order are counted
-over the whole document, in stretches between whose words a few may be changed, added or dropped.
-
-Pairs, not fingerprints of windows, name the candidates because one changed word moves a short window's SimHash out of any radius that
-can be looked up. The fingerprints of the items' passages can still be looked up (``within_radius``)."""
+Passages of the items, windows as long as the part of an item that counts (16 words at most), have SimHash fingerprints over their
+weighted words. The windows of a document whose words could make up such a passage at all are fingerprinted too. A multi-index over blocks of
+the fingerprint's bits gives every passage within the radius: of two fingerprints that differ in ``RADIUS`` bits at most, one of the
+``BLOCKS`` blocks differs in ``RADIUS // BLOCKS`` at most, and all such block values are looked up. What is found is verified by the exact weighted similarity of
+the two windows; then the item's words that the whole document holds in order are counted, in stretches between whose words a few
+may be changed, added or dropped."""
 
 from __future__ import annotations
 
@@ -14,16 +13,20 @@ import html
 import re
 import unicodedata
 from collections.abc import Iterator
-from functools import cached_property, lru_cache
-from itertools import repeat
+from functools import lru_cache
+from itertools import islice, repeat
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-WINDOW = 8
-RADIUS, BLOCKS = 3, 4
+#: Most words of a window, and the distance of a document's windows. A passage with a word in four changed, added or dropped keeps some window within the radius.
+WINDOW, STEP = 16, 2
+#: Bits in which fingerprints of 64 may differ, and the blocks of 16 they are looked up by.
+RADIUS, BLOCKS = 11, 4
+#: Least part of the weight of either window that must stand in the other.
+SIMILARITY = 0.6
 SHARE = 0.4
 #: Test items in one pass over the corpus; more are taken in further passes.
 ITEM_BLOCK = 5_000
@@ -67,196 +70,162 @@ def _signs(hashes: np.ndarray) -> np.ndarray:
     return bits.astype(np.float32) * 2 - 1
 
 
-def _mix(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Hashes of word pairs from the hashes of their words."""
-    with np.errstate(over="ignore"):
-        h = (left * np.uint64(0x9E3779B97F4A7C15)) ^ (right + np.uint64(0x632BE59BD9B4E019))
-        h ^= h >> np.uint64(29)
-        return h * np.uint64(0xBF58476D1CE4E5B9)
+def weights_of(found: list[bytes]) -> np.ndarray:
+    """Weights of words: less for short ones. They depend on the word alone, so fingerprints change neither with the items nor with the corpus."""
+    return np.minimum(np.fromiter(map(len, found), dtype=np.float32, count=len(found)) / 6, 1)
 
 
-def fingerprints(hashes: np.ndarray, weights: np.ndarray, at: np.ndarray, window: int) -> np.ndarray:
-    """SimHash of the windows that begin at ``at``: the shingles are the window's words and pairs of neighbours."""
-    steps = np.arange(window)
-    singles = at[:, None] + steps
-    pairs = at[:, None] + steps[:-1]
-    out = np.zeros(len(at), dtype=np.uint64)
-    for low in range(0, len(at), 4096):
-        cut = slice(low, low + 4096)
-        one, two = singles[cut], pairs[cut]
-        total = (_signs(hashes[one].ravel()) * weights[one].reshape(-1, 1)).reshape(*one.shape, 64).sum(axis=1)
-        mixed = _mix(hashes[two], hashes[two + 1])
-        pair_weights = (weights[two] + weights[two + 1]) / 2
-        total += (_signs(mixed.ravel()) * pair_weights.reshape(-1, 1)).reshape(*two.shape, 64).sum(axis=1)
-        out[cut] = np.packbits(total > 0, axis=1, bitorder="little").view("<u8").ravel()
-    return out
+def window_size(words_of_item: int, share: float = SHARE) -> int:
+    """Words of an item's passages: the part that counts, a stretch at least, ``WINDOW`` at most; all of an item that is shorter than a stretch."""
+    return min(words_of_item, WINDOW, max(STRETCH, -int(-share * words_of_item // 1)))
 
 
-class ItemIndex:
-    """The passages of a block of test items, by the blocks of their fingerprints."""
+class Passages:
+    """The windows of one size of some texts, by the blocks of their fingerprints."""
 
-    def __init__(self, items: list[tuple[object, str]], window: int = WINDOW, radius: int = RADIUS, blocks: int = BLOCKS):
-        if blocks <= radius or 64 % blocks or 64 // blocks > 16:
-            raise ValueError("more blocks than the radius are needed, of 16 bits at most")
-        self.window, self.radius, self.blocks, self.bits = window, radius, blocks, 64 // blocks
-        self.ids = [i for i, _ in items]
-        texts = [words(t) for _, t in items]
-        seen: dict[bytes, int] = {}
-        for text in texts:
-            for word in set(text):
-                seen[word] = seen.get(word, 0) + 1
-        top = np.log1p(len(items)) or 1.0
-        self.known = {word: k for k, word in enumerate(seen)}
-        self.word_weights = np.array([np.log1p(len(items) / n) / np.log1p(len(items)) if len(items) > 1 else 1.0 for n in seen.values()] or [1.0], dtype=np.float32)
-        self.word_hashes = np.array([_hash(word) for word in seen] or [0], dtype=np.uint64)
-        self.texts = [np.array([self.known[w] for w in t], dtype=np.int64) for t in texts]
-        self._index_pairs()
-
-    @cached_property
-    def prints(self) -> np.ndarray:
-        """The fingerprints of the items' passages."""
-        window, blocks = self.window, self.blocks
-        prints, owner, begin = [], [], []
-        for k, ids in enumerate(self.texts):
-            at = np.arange(max(0, len(ids) - window + 1))
-            if len(at):
-                prints.append(fingerprints(self.word_hashes[ids], self.word_weights[ids], at, window))
-                owner.append(np.full(len(at), k))
-                begin.append(at)
-        found = np.concatenate(prints) if prints else np.zeros(0, dtype=np.uint64)
-        self.owner = np.concatenate(owner) if owner else np.zeros(0, dtype=np.int64)
-        self.begin = np.concatenate(begin) if begin else np.zeros(0, dtype=np.int64)
+    def __init__(self, texts: list[np.ndarray], owners: list[int], size: int, lanes: np.ndarray, radius: int = RADIUS, blocks: int = BLOCKS):
+        if 64 % blocks or 64 // blocks > 16:
+            raise ValueError("blocks of 16 bits at most are needed")
+        self.size, self.radius, self.blocks, self.bits, self.lanes = size, radius, blocks, 64 // blocks, lanes
+        counts = [len(t) - size + 1 for t in texts]
+        self.owner = np.repeat(np.array(owners, dtype=np.int64), counts)
+        self.words = np.concatenate([np.lib.stride_tricks.sliding_window_view(t, size) for t in texts]) if texts else np.zeros((0, size), dtype=np.int64)
+        self.prints = self.fingerprints(self.words)
+        values = np.arange(1 << self.bits, dtype=np.int64)
+        #: what a block's value may differ by
+        self.masks = values[np.bitwise_count(values) <= radius // blocks]
         self.order, self.offsets = [], []
         for block in range(blocks):
-            keys = self._keys(found, block)
+            keys = self._keys(self.prints, block)
             self.order.append(np.argsort(keys, kind="stable"))
             self.offsets.append(np.concatenate(([0], np.cumsum(np.bincount(keys, minlength=1 << self.bits)))))
-        return found
 
-    def _index_pairs(self) -> None:
-        """The word pairs of the items, which items have each and how often, and where each item has them. Items of fewer words than a window have none."""
-        self.sizes = np.array([len(t) for t in self.texts], dtype=np.int64)
-        long = [t if len(t) >= self.window else t[:0] for t in self.texts]
-        keys = [self._pair_keys(t) for t in long]
-        joined = np.concatenate([np.zeros(0, dtype=np.int64), *keys])
-        self.pairs, ids = np.unique(joined, return_inverse=True)
-        owner = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
-        held, self.times = np.unique(ids * max(len(keys), 1) + owner, return_counts=True)
-        self.having = held % max(len(keys), 1)
-        self.first = np.searchsorted(held // max(len(keys), 1), np.arange(len(self.pairs) + 1))
-        self.pair_positions: list[dict[int, list[int]]] = []
-        low = 0
-        for k in keys:
-            at: dict[int, list[int]] = {}
-            for p, pair in enumerate(ids[low : low + len(k)].tolist()):
-                at.setdefault(pair, []).append(p)
-            self.pair_positions.append(at)
-            low += len(k)
-
-    def _pair_keys(self, ids: np.ndarray) -> np.ndarray:
-        return ids[:-1] * len(self.known) + ids[1:]
+    def fingerprints(self, windows: np.ndarray) -> np.ndarray:
+        """SimHash of windows of word numbers; the last lane is that of words that no item has, and empty."""
+        out = np.zeros(len(windows), dtype=np.uint64)
+        for low in range(0, len(windows), 4096):
+            total = self.lanes[windows[low : low + 4096]].sum(axis=1)
+            out[low : low + 4096] = np.packbits(total > 0, axis=1, bitorder="little").view("<u8").ravel()
+        return out
 
     def _keys(self, prints: np.ndarray, block: int) -> np.ndarray:
         return ((prints >> np.uint64(block * self.bits)) & np.uint64((1 << self.bits) - 1)).astype(np.int64)
 
-    def within_radius(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(query, passage) pairs of all fingerprints within the radius."""
-        found, own = [], self.prints
-        for block in range(self.blocks):
-            keys = self._keys(prints, block)
-            low, high = self.offsets[block][keys], self.offsets[block][keys + 1]
-            sizes = high - low
-            query = np.repeat(np.arange(len(prints)), sizes)
-            within = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            passage = self.order[block][np.repeat(low, sizes) + within]
-            near = np.bitwise_count(prints[query] ^ own[passage]) <= self.radius
-            found.append(np.stack([query[near], passage[near]]))
-        both = np.unique(np.concatenate(found, axis=1), axis=1)
-        return both[0], both[1]
-
-    def pairs_at(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where word pairs of items begin in a text, and which they are. ``ids``: -1 for words that no item has, -2 between documents."""
-        at = np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0))
-        if len(at) == 0 or len(self.pairs) == 0:
-            return at[:0], at[:0]
-        keys = ids[at] * len(self.known) + ids[at + 1]
-        slots = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
-        hit = self.pairs[slots] == keys
-        return at[hit], slots[hit]
-
-    def fewest(self, share: float) -> np.ndarray:
-        """Of each item the fewest places of its pairs that a document with the share has: a stretch of m pairs spans 4 m - 2 words at
-        most (GAP + 2 from pair to pair) and two stretches may have one place in common, so a place stands for 4.5 words at most."""
-        return np.maximum(STRETCH, np.ceil(share * self.sizes / (GAP + 2.5) - 1e-9)).astype(np.int64)
-
-    def candidates(self, rows: np.ndarray, pairs: np.ndarray, fewest: np.ndarray) -> Iterator[tuple[int, int]]:
-        """(text, item) with enough places of the item's pairs, from the texts' pairs; ``rows`` ascends."""
-        distinct = np.unique(rows * len(self.pairs) + pairs)
-        rows, pairs = distinct // max(len(self.pairs), 1), distinct % max(len(self.pairs), 1)
-        low = self.first[pairs]
-        sizes = self.first[pairs + 1] - low
-        ends = np.cumsum(sizes)
-        begin = 0
-        while begin < len(rows):
-            # whole texts at a time, some million postings of them
-            stop = int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + 2_000_000, side="right"))
-            last = rows[min(stop, len(rows) - 1)]
-            stop = len(rows) if stop >= len(rows) else int(np.searchsorted(rows, last))
-            if stop <= begin:
-                stop = int(np.searchsorted(rows, rows[begin], side="right"))
-            cut = slice(begin, stop)
-            n = sizes[cut]
-            post = np.repeat(low[cut], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            keys, inverse = np.unique(np.repeat(rows[cut], n) * len(self.texts) + self.having[post], return_inverse=True)
-            places = np.bincount(inverse, self.times[post])
-            enough = keys[places >= fewest[keys % len(self.texts)]]
-            yield from zip((enough // len(self.texts)).tolist(), (enough % len(self.texts)).tolist(), strict=True)
-            begin = stop
-
-    def shares(self, texts: list[str], least: float = 0.0) -> Iterator[tuple[int, int, float]]:
-        """(text, item, share of the item's words held) of the texts that hold ``least`` at least, and maybe of some that hold less."""
+    def within_radius(self, prints: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(query, passage) pairs of all fingerprints within the radius, some thousand queries at a time; a pair may come again."""
+        for low in range(0, len(prints), 512):
+            part = prints[low : low + 512]
+            for block in range(self.blocks):
+                keys = (self._keys(part, block)[:, None] ^ self.masks).ravel()
+                begin = self.offsets[block][keys]
+                sizes = self.offsets[block][keys + 1] - begin
+                full = np.flatnonzero(sizes)
+                begin, sizes = begin[full], sizes[full]
+                within = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                passage = self.order[block][np.repeat(begin, sizes) + within]
+                query = np.repeat(full // len(self.masks), sizes)
+                near = np.bitwise_count(part[query] ^ self.prints[passage]) <= self.radius
+                yield low + query[near], passage[near]
+
+
+def similarity(left: np.ndarray, left_weights: np.ndarray, right: np.ndarray, right_weights: np.ndarray) -> np.ndarray:
+    """The smaller of the two parts of the windows' weights whose words stand in the other window; -1 stands nowhere."""
+    equal = (left[:, :, None] == right[:, None, :]) & (left >= 0)[:, :, None]
+    one = (equal.any(axis=2) * left_weights).sum(axis=1) / left_weights.sum(axis=1)
+    two = (equal.any(axis=1) * right_weights).sum(axis=1) / right_weights.sum(axis=1)
+    return np.minimum(one, two)
+
+
+class ItemIndex:
+    """The passages of a block of test items, and where each item has its word pairs."""
+
+    def __init__(self, items: list[tuple[object, str]], share: float = SHARE):
+        self.ids = [i for i, _ in items]
+        texts = [words(t) for _, t in items]
+        seen = dict.fromkeys(word for text in texts for word in text)
+        self.known = {word: k for k, word in enumerate(seen)}
+        self.weights = np.append(weights_of(list(seen)), np.float32(0))
+        hashes = np.array([*map(_hash, seen), 0], dtype=np.uint64)
+        self.texts = [np.array([self.known[w] for w in t], dtype=np.int64) for t in texts]
+        self.sizes = np.array([len(t) for t in self.texts], dtype=np.int64)
+        lanes = _signs(hashes) * self.weights[:, None]
+        by_size: dict[int, list[int]] = {}
+        for k, n in enumerate(self.sizes.tolist()):
+            if n:
+                by_size.setdefault(window_size(n, share), []).append(k)
+        self.passages = [Passages([self.texts[k] for k in own], own, size, lanes) for size, own in sorted(by_size.items())]
+        self.pair_positions: dict[int, dict[int, list[int]]] = {}
+
+    def candidates(self, ids: np.ndarray, weights: np.ndarray, rows: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(row, item) of which a window of the row's text and a passage of the item are within the radius and similar.
+
+        ``ids``: the numbers of the texts' words, -1 for words that no item has, -2 between texts. A window of which too little weight is in
+        known words is similar to no passage and is not looked up."""
+        found = [np.zeros(0, dtype=np.int64)]
+        held = np.concatenate(([0.0], np.cumsum(np.where(ids >= 0, weights, 0.0))))
+        whole = np.concatenate(([0.0], np.cumsum(weights)))
+        ends = np.concatenate(([0], np.cumsum(ids == -2)))
+        for passages in self.passages:
+            size = passages.size
+            at = np.arange(0, max(0, len(ids) - size + 1), STEP if size > STRETCH else 1)
+            share = held[at + size] - held[at] >= SIMILARITY * (whole[at + size] - whole[at]) - 1e-6
+            at = at[share & (ends[at + size] == ends[at]) & (held[at + size] > held[at])]
+            windows = ids[at[:, None] + np.arange(size)]
+            for query, passage in passages.within_radius(passages.fingerprints(windows)):
+                for low in range(0, len(query), 20_000):
+                    q, p = query[low : low + 20_000], passage[low : low + 20_000]
+                    own = passages.words[p]
+                    alike = similarity(windows[q], weights[at[q][:, None] + np.arange(size)], own, self.weights[own]) >= SIMILARITY
+                    found.append(np.unique(rows[at[q[alike]]] * len(self.texts) + passages.owner[p[alike]]))
+        both = np.unique(np.concatenate(found))
+        yield from zip((both // max(len(self.texts), 1)).tolist(), (both % max(len(self.texts), 1)).tolist(), strict=True)
+
+    def shares(self, texts: list[str]) -> Iterator[tuple[int, int, float]]:
+        """(text, item, share of the item's words held) of the texts that have a passage of an item."""
         known, block = self.known.get, 2_000_000
-        fewest = self.fewest(least)
         low = 0
         while low < len(texts):
-            parts, high, size = [], low, 0
+            parts, lengths, high, size = [], [], low, 0
             while high < len(texts) and (high == low or size + len(texts[high]) <= block):
                 found = words(texts[high])
                 parts += [np.fromiter(map(known, found, repeat(-1)), dtype=np.int64, count=len(found)), np.array([-2])]
+                lengths += [weights_of(found), np.zeros(1, dtype=np.float32)]
                 size, high = size + len(texts[high]), high + 1
             begins = np.concatenate(([0], np.cumsum([len(p) + 1 for p in parts[::2]])))
-            at, pairs = self.pairs_at(np.concatenate(parts))
-            rows = np.searchsorted(begins, at, side="right") - 1
-            first = np.searchsorted(rows, np.arange(high - low + 1))
-            for k, item in self.candidates(rows, pairs, fewest):
-                here = slice(int(first[k]), int(first[k + 1]))
-                if held := self.held_share(item, at[here], pairs[here], int(fewest[item])):
+            ids = np.concatenate(parts)
+            rows = np.repeat(np.arange(high - low), np.diff(begins))
+            for k, item in self.candidates(ids, np.concatenate(lengths), rows):
+                if held := self.held_share(item, ids[begins[k] : begins[k + 1]]):
                     yield low + k, item, held
             low = high
 
-    def held_share(self, item: int, at: np.ndarray, pairs: np.ndarray, fewest: int = STRETCH) -> float:
-        """Share of the item's words that a document holds in order, from the item pairs in it; 0 if they are fewer than ``fewest``."""
-        positions, mask = self.pair_positions[item], self._mask
-        own = np.fromiter(positions, dtype=np.int64, count=len(positions))
-        mask[own] = True
-        hit = mask[pairs]
-        mask[own] = False
-        at, pairs = at[hit], pairs[hit]
+    def _pairs_of(self, item: int) -> dict[int, list[int]]:
+        """Where an item has each of its pairs of neighbouring words."""
+        if item not in self.pair_positions:
+            at: dict[int, list[int]] = {}
+            ids = self.texts[item]
+            for p, pair in enumerate((ids[:-1] * len(self.known) + ids[1:]).tolist()):
+                at.setdefault(pair, []).append(p)
+            self.pair_positions[item] = at
+        return self.pair_positions[item]
+
+    def held_share(self, item: int, ids: np.ndarray) -> float:
+        """Share of the item's words that a text holds in order."""
+        positions, n = self._pairs_of(item), int(self.sizes[item])
+        if n == 1:
+            return float((ids == self.texts[item][0]).any())
+        pairs = np.where((ids[:-1] >= 0) & (ids[1:] >= 0), ids[:-1] * len(self.known) + ids[1:], -1)
+        at = np.flatnonzero(np.isin(pairs, np.fromiter(positions, dtype=np.int64, count=len(positions))))
+        shortest = min(STRETCH, n)
         # pairs further apart are of no one stretch, and too few are no stretch
         starts = np.flatnonzero(np.diff(at, prepend=-(10**9)) > GAP + 2)
-        sizes = np.diff(np.append(starts, len(at)))
-        near = np.repeat(sizes >= STRETCH, sizes)
-        if np.count_nonzero(near) < fewest:
-            return 0.0
-        matches = [(d, p) for d, pair in zip(at[near].tolist(), pairs[near].tolist(), strict=True) for p in positions[pair]]
-        return sum(e - b for b, e in _stretches(matches)) / int(self.sizes[item])
-
-    @cached_property
-    def _mask(self) -> np.ndarray:
-        return np.zeros(len(self.pairs), dtype=bool)
+        counts = np.diff(np.append(starts, len(at)))
+        at = at[np.repeat(counts + 1 >= shortest, counts)]
+        matches = [(d, p) for d, pair in zip(at.tolist(), pairs[at].tolist(), strict=True) for p in positions[pair]]
+        return sum(e - b for b, e in _stretches(matches, shortest)) / n
 
 
-def _stretches(matches: list[tuple[int, int]]) -> list[tuple[int, int]]:
+def _stretches(matches: list[tuple[int, int]], shortest: int = STRETCH) -> list[tuple[int, int]]:
     """Item ranges of the stretches of matching word pairs (document position, item position), in order and apart."""
     open_at: dict[int, list[int]] = {}
     runs = []
@@ -275,7 +244,7 @@ def _stretches(matches: list[tuple[int, int]]) -> list[tuple[int, int]]:
         best[1], best[3], best[4] = d, p, best[4] + 1
         open_at[p - d] = best
     # runs hold pairs: a range ends one word further; the heaviest chain of runs that are in order in both texts counts
-    kept = sorted(((r[1] + 2, r[0], r[2], r[3] + 2) for r in runs if r[4] + 1 >= STRETCH), key=lambda r: r[1])
+    kept = sorted(((r[1] + 2, r[0], r[2], r[3] + 2) for r in runs if r[4] + 1 >= shortest), key=lambda r: r[1])
     best_chain: list[tuple[int, list[tuple[int, int]], int, int]] = []
     for d_end, d_begin, p_begin, p_end in kept:
         weight, chain = 0, []
@@ -291,11 +260,11 @@ def _stretches(matches: list[tuple[int, int]]) -> list[tuple[int, int]]:
 _INDEXES: dict[str, ItemIndex] = {}
 
 
-def _index(name: str, sent) -> ItemIndex:
+def _index(name: str, sent, share: float) -> ItemIndex:
     """The worker's index of a block of items, kept for the tasks to come."""
     if name not in _INDEXES:
         _INDEXES.clear()
-        _INDEXES[name] = ItemIndex(sent.value)
+        _INDEXES[name] = ItemIndex(sent.value, share)
     return _INDEXES[name]
 
 
@@ -304,14 +273,13 @@ def leaked_items(
 ) -> DataFrame:
     """(key, item key, share) of every document that holds at least ``share`` of an item's words, in order, in stretches.
 
-    Whole texts are read, of all documents, once for each block of items; nothing is shuffled. NULL and empty texts leak
-    nothing; items of fewer words than a window are no passages and give no rows; copies of a document are rows of their own."""
-    held = items.where(F.col(item_text).isNotNull()).select(F.col(item_key).alias("_item"), F.col(item_text).alias("_text"))
-    rows = sorted((tuple(r) for r in held.toLocalIterator()), key=repr)
+    Whole texts are read, of all documents, once for each ``ITEM_BLOCK`` items; nothing is shuffled, and rows do not depend on the blocks.
+    NULL and empty texts leak nothing; an item shorter than a stretch has to be held whole; copies of a document are rows of their own."""
+    held = items.where(F.col(item_text).isNotNull()).select(F.col(item_key).alias("_item"), F.col(item_text).alias("_text")).toLocalIterator()
     schema = f"_key string, {item_key} {dict(items.dtypes)[item_key]}, share double"
     result = None
-    for low in range(0, max(len(rows), 1), ITEM_BLOCK):
-        part = _leaks_of_block(documents, key, text, rows[low : low + ITEM_BLOCK], schema, share)
+    while (block := [tuple(r) for r in islice(held, ITEM_BLOCK)]) or result is None:
+        part = _leaks_of_block(documents, key, text, block, schema, share)
         result = part if result is None else result.unionByName(part)
     return result
 
@@ -321,13 +289,13 @@ def _leaks_of_block(documents: DataFrame, key: str, text: str, block: list[tuple
 
     context = documents.sparkSession.sparkContext
     sent = context.broadcast(block)  # at most ITEM_BLOCK texts
-    name = xxhash.xxh64_hexdigest(repr(block))
+    name = xxhash.xxh64_hexdigest(repr((share, block)))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        index = _index(name, sent)
+        index = _index(name, sent, share)
         for batch in batches:
             out = []
-            for row, item, held in index.shares(batch["_text"].tolist(), share):
+            for row, item, held in index.shares(batch["_text"].tolist()):
                 if held >= share - 1e-9:
                     out.append((batch["_key"].iloc[row], index.ids[item], held))
             yield pd.DataFrame(out, columns=[f.split()[0] for f in schema.split(", ")])
