@@ -11,7 +11,7 @@ import os
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.operators.snapshots import catalog_snapshots, latest_rows
@@ -24,7 +24,11 @@ def low_water_mark(log: DataFrame, keys: Sequence[str], order: str, status: str,
     """One row ``mark``: when the oldest transaction began whose latest state is none of ``closed``; NULL if all are closed.
 
     A state that is NULL counts as open."""
-    last = latest_rows(log, keys, [order], [status, started])
+    return low_water_mark_of(latest_rows(log, keys, [order], [status, started]), status, started, closed)
+
+
+def low_water_mark_of(last: DataFrame, status: str, started: str, closed: Sequence[str]) -> DataFrame:
+    """The same of transactions that have one row each, their latest."""
     is_open = ~F.coalesce(F.lower(F.trim(status)).isin(*closed), F.lit(False))
     return last.agg(F.min(F.when(is_open, F.col(started))).alias("mark"))
 
@@ -36,12 +40,15 @@ def unprocessed(pairs: DataFrame, ledger: DataFrame, on: Sequence[str]) -> DataF
     return pairs.join(ledger, condition, "left_anti")
 
 
-def next_batch(source: DataFrame, ledger: DataFrame, key: Sequence[str], version: Sequence[str], committed_at: str, since) -> DataFrame:
-    """The source's rows from ``since`` on (all if it is None), repeats dropped, that the ledger lacks.
+def next_batch(source: DataFrame, ledger: DataFrame, key: Sequence[str], version: Sequence[str], committed_at: str, since, repeats: bool = True) -> DataFrame:
+    """The source's rows from ``since`` on (all if it is None), repeats dropped, that the ledger lacks. ``since``: a time, or a column of the source.
 
-    A row whose commit time is NULL is always reread. Of equal (key, version) pairs the earliest row is taken."""
-    window = source if since is None else source.where(F.col(committed_at).isNull() | (F.col(committed_at) >= F.lit(since)))
+    A row whose commit time is NULL is always reread. Of equal (key, version) pairs the earliest row is taken; ``repeats`` says whether there may be any."""
+    mark = since if isinstance(since, Column) else F.lit(since)
+    window = source if since is None else source.where(F.col(committed_at).isNull() | mark.isNull() | (F.col(committed_at) >= mark))
     on = [*key, *version]
+    if not repeats:
+        return unprocessed(window, ledger, on)
     rest = [c for c in window.columns if c not in on]
     once = window.groupBy(*on).agg(F.min_by(F.struct(*rest), F.struct(*[F.col(c) for c in rest if c == committed_at] or [F.lit(0)])).alias("_row"))
     return unprocessed(once.select(*on, "_row.*"), ledger, on)
@@ -50,9 +57,12 @@ def next_batch(source: DataFrame, ledger: DataFrame, key: Sequence[str], version
 class IncrementalRun:
     """Runs a step over new or changed records only, with its state in a folder that all executors share.
 
-    Layout: ``ledger/run=<id>/`` holds the pairs of a run, ``output/run=<id>/`` its result and ``commits/<id>.json``
-    marks it as done. A run that fails before its commit leaves no mark: its ledger and output do not count, and the next
-    run takes the same records again. The commit is one rename, so it is either seen or not."""
+    Layout: ``ledger/run=<id>/`` holds the pairs of a run, ``output/run=<id>/`` its result and ``commits/<number>.json``
+    marks it as done and names the ledgers that count from then on. A run that fails before its commit leaves no mark: its ledger and output do not
+    count, and the next run takes the same records again. The commit is one rename that must not replace a file, as in HDFS or a local folder;
+    a store without such a rename needs a table format's commit instead. Every ``COMPACT_EVERY`` runs the ledgers are written as one."""
+
+    COMPACT_EVERY = 50
 
     def __init__(self, spark: SparkSession, folder: str, key: Sequence[str], version: Sequence[str], committed_at: str):
         self.spark, self.folder, self.key, self.version, self.committed_at = spark, folder.rstrip("/"), list(key), list(version), committed_at
@@ -62,19 +72,27 @@ class IncrementalRun:
         path = jvm.org.apache.hadoop.fs.Path(self.folder)
         return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
 
-    def commits(self) -> list[dict]:
+    def _commit_names(self) -> list[str]:
         fs, path = self._fs()
         base = path(f"{self.folder}/commits")
-        if not fs.exists(base):
+        return sorted(s.getPath().getName() for s in fs.listStatus(base) if s.getPath().getName().endswith(".json")) if fs.exists(base) else []
+
+    def commits(self) -> list[dict]:
+        """All commits in order, in one read."""
+        if not self._commit_names():
             return []
-        names = [s.getPath().toString() for s in fs.listStatus(base) if s.getPath().getName().endswith(".json")]
-        return sorted((json.loads(self.spark.read.text(n, wholetext=True).head()[0]) for n in names), key=lambda c: c["order"])
+        return sorted((json.loads(r[0]) for r in self.spark.read.text(f"{self.folder}/commits/*.json", wholetext=True).toLocalIterator()), key=lambda c: c["order"])
+
+    def last_commit(self) -> dict | None:
+        names = self._commit_names()
+        return json.loads(self.spark.read.text(f"{self.folder}/commits/{names[-1]}", wholetext=True).head()[0]) if names else None
 
-    def ledger(self, commits: list[dict], empty: DataFrame) -> DataFrame:
+    def ledger(self, commit: dict | None, empty: DataFrame) -> DataFrame:
+        """The pairs that were processed up to a commit."""
         on = [*self.key, *self.version]
-        if not commits:
+        if commit is None:
             return empty.select(*on).limit(0)
-        return self.spark.read.parquet(*[f"{self.folder}/ledger/run={c['run']}" for c in commits]).select(*on)
+        return self.spark.read.parquet(*[f"{self.folder}/ledger/run={r}" for r in commit["ledgers"]]).select(*on)
 
     def output(self) -> DataFrame | None:
         runs = [f"{self.folder}/output/run={c['run']}" for c in self.commits()]
@@ -84,45 +102,52 @@ class IncrementalRun:
         """Process what is new. ``oldest_open``: when the oldest transaction now open began, or now if none is; the next
         run rereads from there. None rereads everything, which is slower but never wrong. ``whole``: the source holds each record once
         only, however old, as a stream's batch does, so none is passed over by its time."""
-        commits = self.commits()
-        since = commits[-1]["oldest_open"] if commits and not whole else None
-        run = uuid.uuid4().hex
-        batch = next_batch(source, self.ledger(commits, source), self.key, self.version, self.committed_at, since)
+        last = self.last_commit()
+        since = last["oldest_open"] if last and not whole else None
+        run, on = uuid.uuid4().hex, [*self.key, *self.version]
+        batch = next_batch(source, self.ledger(last, source), self.key, self.version, self.committed_at, since)
         pending = f"{self.folder}/batch/run={run}"
         batch.write.parquet(pending)  # the batch is fixed before the step sees it: a retried task reads the same rows
         batch = self.spark.read.parquet(pending)
         step(batch).write.mode("overwrite").parquet(f"{self.folder}/output/run={run}")
-        batch.select(*self.key, *self.version).write.mode("overwrite").parquet(f"{self.folder}/ledger/run={run}")
+        pairs, ledgers = batch.select(*on), [*(last["ledgers"] if last else []), run]
+        if len(ledgers) > self.COMPACT_EVERY:
+            pairs, ledgers = pairs.unionByName(self.ledger(last, pairs)), [run]
+        pairs.write.mode("overwrite").parquet(f"{self.folder}/ledger/run={run}")
         fs, path = self._fs()
-        mark = {"run": run, "order": len(commits), "oldest_open": None if oldest_open is None else str(oldest_open)}
+        order = last["order"] + 1 if last else 0
+        mark = {"run": run, "order": order, "oldest_open": None if oldest_open is None else str(oldest_open), "ledgers": ledgers}
         draft = f"{self.folder}/draft-{run}"
         stream = fs.create(path(draft))
         stream.write(bytearray(json.dumps(mark).encode()))
         stream.close()
         fs.mkdirs(path(f"{self.folder}/commits"))
-        if not fs.rename(path(draft), path(f"{self.folder}/commits/{len(commits):010d}.json")):
+        if not fs.rename(path(draft), path(f"{self.folder}/commits/{order:010d}.json")):
             raise RuntimeError(f"another run committed {os.path.basename(self.folder)} first")
         fs.delete(path(pending), True)
         return run
 
 
-def processed_ledger(checkpoints: DataFrame, signatures: DataFrame) -> DataFrame:
-    """(document_version_id, stage_name, stage_signature) pairs whose latest checkpoint succeeded under the signature in force."""
-    last = latest_rows(
+def latest_stages(checkpoints: DataFrame) -> DataFrame:
+    """(document_version_id, stage_name, status, stage_signature, started_at) of the row of each version and stage that was updated last."""
+    return latest_rows(
         checkpoints.select("document_version_id", "stage_name", "status", "stage_signature", "updated_at", "completed_at", "started_at", "created_at"),
         ["document_version_id", "stage_name"],
         ["updated_at", "completed_at", "started_at", "created_at"],
-        ["status", "stage_signature"],
-    )
-    done = last.where(F.lower(F.regexp_replace("status", r"(?U)^\s+|\s+$", "")) == "succeeded")
+        ["status", "stage_signature", "started_at"],
+    ).withColumn("status", F.lower(F.regexp_replace("status", r"(?U)^\s+|\s+$", "")))
+
+
+def processed_ledger(stages: DataFrame, signatures: DataFrame) -> DataFrame:
+    """(document_version_id, stage_name, stage_signature) pairs whose latest row, of ``latest_stages``, succeeded under the signature in force."""
+    done = stages.where(F.col("status") == "succeeded")
     return done.join(small_side(signatures.select("stage_name", "stage_signature")), ["stage_name", "stage_signature"]).select(
         "document_version_id", "stage_name", "stage_signature"
     )
 
 
-def current_files(catalog: DataFrame, versions: DataFrame, accepted: Sequence[str] = ACCEPTED) -> DataFrame:
-    """(file_path, document_version_id) of the newest snapshot's accepted files; the version is NULL if none is registered."""
-    newest = catalog.agg(F.max("snapshot_id")).head()[0]
+def current_files(catalog: DataFrame, versions: DataFrame, newest, accepted: Sequence[str] = ACCEPTED) -> DataFrame:
+    """(file_path, document_version_id, delivered_at) of the accepted files of the snapshot ``newest``; the version is NULL if none is registered."""
     files = catalog_snapshots(catalog.where(F.col("snapshot_id") == F.lit(newest))).where(F.col("filetype").isin(*accepted) & F.col("file_path").isNotNull())
     registered = versions.select(
         F.col("id").alias("_version"),
@@ -136,15 +161,20 @@ def current_files(catalog: DataFrame, versions: DataFrame, accepted: Sequence[st
     )
     joined = files.join(registered, (files["file_path"] == registered["_path"]), "left")
     # a path has few versions; the condition is an aggregate's, so that a path whose versions all fail it stays
-    return joined.groupBy("file_path").agg(F.max(F.when(same, F.col("_version"))).alias("document_version_id"))
+    return joined.groupBy("file_path").agg(F.max(F.when(same, F.col("_version"))).alias("document_version_id"), F.max("delivered_at").alias("delivered_at"))
 
 
 def pending_files(catalog: DataFrame, versions: DataFrame, checkpoints: DataFrame, signatures: DataFrame) -> DataFrame:
     """(file_path, document_version_id, first_stage): the files the next run must process, each with the stage to go on from.
 
-    The newest snapshot is reread whole: a signature that changes reopens files of any age, so no mark later than the
-    snapshot's start would be safe. What is done is then removed by the anti-join of (version, stage, signature)."""
-    files = current_files(catalog, versions)
+    The records are (version, stage, signature), committed when their file was delivered. They are reread from the start of the oldest transaction
+    that was open at the last run: the oldest stage that has neither succeeded nor failed, or the delivery of the newest snapshot, whose files
+    no run has closed yet. What is done under the signature in force is removed by the anti-join with
+    the ledger, so a signature that changes reopens files of any age. NULL keys and paths are no files; a NULL state is open; equal rows count
+    once; empty tables give no rows."""
+    began = F.struct("snapshot_id", F.col("_began").alias("began"))
+    newest = catalog.groupBy("snapshot_id").agg(F.min("delivered_at").alias("_began")).agg(F.max(began).alias("s")).select("s.*").head()
+    files = current_files(catalog, versions, newest[0])
     stages = [tuple(r) for r in signatures.select("stage_order", "stage_name", "stage_signature").orderBy("stage_order").take(1001)]
     if len(stages) > 1000:
         raise ValueError("more than 1,000 stages")
@@ -159,8 +189,12 @@ def pending_files(catalog: DataFrame, versions: DataFrame, checkpoints: DataFram
             for o, n, s in stages
         ]
     )
-    due = files.where(F.col("document_version_id").isNotNull()).select("file_path", "document_version_id", F.explode(plan).alias("_s"))
-    due = due.select("file_path", "document_version_id", "_s.*")
-    left = unprocessed(due, processed_ledger(checkpoints, signatures), ["document_version_id", "stage_name", "stage_signature"])
+    last = latest_stages(checkpoints)
+    opened = low_water_mark_of(last, "status", "started_at", ("succeeded", "failed"))
+    mark = opened.select(F.least("mark", F.lit(newest[1]).cast("timestamp")).alias("_since"))
+    due = files.where(F.col("document_version_id").isNotNull()).join(F.broadcast(mark))  # mark: one row
+    due = due.select("file_path", "document_version_id", "delivered_at", "_since", F.explode(plan).alias("_s")).select("file_path", "document_version_id", "delivered_at", "_since", "_s.*")
+    # a version has one path and each stage once, so no pair comes twice
+    left = next_batch(due, processed_ledger(last, signatures), ["document_version_id", "stage_name"], ["stage_signature"], "delivered_at", F.col("_since"), repeats=False)
     resumed = left.groupBy("file_path", "document_version_id").agg(F.min_by("stage_name", "stage_order").alias("first_stage"))
     return resumed.unionByName(fresh)

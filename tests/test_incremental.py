@@ -92,3 +92,26 @@ def test_runs_survive_failures_without_skipping_or_repeating(spark, tmp_path):
     done = sorted((str(r["k"]), r["v"]) for r in run.output().collect())
     assert done == sorted([("a", 1), ("b", 1), ("None", None), ("c", 1), ("b", 2)], key=str)
     assert len(run.commits()) == 3
+
+
+def test_ledgers_are_compacted_and_commits_read_at_once(spark, tmp_path):
+    run = inc.IncrementalRun(spark, str(tmp_path / "state"), ["k"], ["v"], "at")
+    run.COMPACT_EVERY = 2
+    source = spark.createDataFrame([("a", 0, T)], "k string, v int, at timestamp")
+    for n in range(5):
+        source = source.unionByName(spark.createDataFrame([("a", n, T), (f"b{n}", None, None)], source.schema))
+        run.run(source, lambda b: b)
+    assert run.output().count() == run.output().distinct().count() == 10
+    assert [len(c["ledgers"]) for c in run.commits()] == [1, 2, 1, 2, 1]
+
+
+def test_a_failed_run_over_the_catalog_is_taken_up_where_it_stopped(spark):
+    """Stages finish one by one, a run dies in between, and a signature changes: each file goes on from its first open stage, none is lost or done twice."""
+    files = [file(f"/{k}", H[k]) for k in "abc"]
+    versions = [version(i + 1, f"/{k}", H[k]) for i, k in enumerate("abc")]
+    marks = [mark(1, "one", "succeeded", "sig-one", 1), mark(1, "two", "succeeded", "sig-two", 2), mark(2, "one", "succeeded", "sig-one", 1), mark(2, "two", "running", "sig-two", 2)]
+    assert pending(spark, files, versions, marks) == [("/b", "two"), ("/c", "one")]
+    marks += [mark(2, "two", "succeeded", "sig-two", 3), mark(3, "one", "succeeded", "sig-one", 3), mark(3, "two", "succeeded", "sig-two", 4)]
+    assert pending(spark, files, versions, marks) == []
+    marks.append(mark(1, "two", "succeeded", "sig-new", 9))
+    assert pending(spark, files, versions, marks) == [("/a", "two")]
