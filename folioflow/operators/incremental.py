@@ -131,7 +131,8 @@ class IncrementalRun:
 def latest_stages(checkpoints: DataFrame) -> DataFrame:
     """(document_version_id, stage_name, status, stage_signature, started_at) of the row of each version and stage that was updated last."""
     return latest_rows(
-        checkpoints.select("document_version_id", "stage_name", "status", "stage_signature", "updated_at", "completed_at", "started_at", "created_at"),
+        # without a stage's name there is no stage
+        checkpoints.where(F.col("stage_name").isNotNull()).select("document_version_id", "stage_name", "status", "stage_signature", "updated_at", "completed_at", "started_at", "created_at"),
         ["document_version_id", "stage_name"],
         ["updated_at", "completed_at", "started_at", "created_at"],
         ["status", "stage_signature", "started_at"],

@@ -35,7 +35,7 @@ def signed_cells(snapshots: DataFrame, snapshot: str, key: str, fields: Sequence
     # one row for each snapshot, so the order over all of them is small by nature
     order = ids.select("_id", F.lead("_id").over(Window.orderBy("_id")).alias("_next"), F.lag("_id").over(Window.orderBy("_id")).alias("_prev"))
     sided = (
-        snapshots.join(small_side(order), snapshots[snapshot] == order["_id"])
+        snapshots.join(small_side(order), F.col(snapshot) == F.col("_id"))
         .select(
             key,
             *fields,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,19 +37,25 @@ def local_session(cores: str = "8", partitions: int = 8, memory: str = "6g") ->
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written to the shared checkpoint folder, its lineage cut.
 
-    The folder is the session's ``spark.checkpoint.dir``; only where that is unset is a local
-    one made, which suits a single machine."""
+    The folder is the session's ``spark.checkpoint.dir``. Only a local session may go without: it gets a folder of this machine's; elsewhere
+    that would lose data with its machine, so it is an error."""
     spark = df.sparkSession
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="folioflow-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not re.match(r"local(\[|$)", context.master):
+                raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="folioflow-")
+        context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
 
 def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``limit`` rows, else unchanged, so that Spark shuffles it."""
-    few = len(df.select(F.lit(1)).take(limit + 1)) <= limit
-    return F.broadcast(df) if few else df
+    """``df`` as local rows with a broadcast hint if it has at most ``limit`` of them, so that what is above it runs once; else unchanged,
+    so that Spark shuffles it."""
+    rows = df.take(limit + 1)
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema)) if len(rows) <= limit else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
