@@ -11,13 +11,13 @@ from folioflow.llm import encoding, leakage, packing, ranking, splitting
 from folioflow.session import table
 
 
-def p2_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+def p2_ranking(spark: SparkSession, sf_dir: str, top: int | None = None) -> DataFrame:
     hits = table(spark, sf_dir, "search_results")
-    return ranking.fused_ranking(hits, "query_id", "strategy", "content_unit_id", ranking.directed_value(F.col("score"), F.col("distance")))
+    return ranking.fused_ranking(hits, "query_id", "strategy", "content_unit_id", ranking.directed_value(F.col("score"), F.col("distance")), top)
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return p2_ranking(spark, sf_dir).where("position <= 3").select("query_id", "content_unit_id")
+    return p2_ranking(spark, sf_dir, 3).select("query_id", "content_unit_id")
 
 
 def p4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

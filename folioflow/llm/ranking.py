@@ -12,10 +12,13 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from folioflow.operators.ranks import row_numbers
 from folioflow.session import checkpointed, small_side
 
 #: Rows of a query from which it is ranked bucket by bucket instead of in one task. Both ways give the same ranks.
 HOT_ROWS = 2_000_000
+#: Tasks among which the rows of one value of such a query are spread.
+SALTS = 16
 
 
 def directed_value(high_is_good: Column, low_is_good: Column) -> Column:
@@ -61,7 +64,9 @@ def _ranks_by_bucket(best: DataFrame) -> DataFrame:
     ranks = values.join(buckets, ["query", "source", "bucket"]).select(
         "query", "source", "value", (F.col("below") + F.col("before") + (F.col("n") + 1) / 2.0).alias("rank"), "ranked"
     )
-    return keyed.join(ranks, ["query", "source", "value"]).select("query", "source", "unit", "rank", "ranked")
+    # a value that many units share meets its rank in SALTS tasks
+    salted = ranks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return keyed.withColumn("salt", F.pmod(F.xxhash64("unit"), F.lit(SALTS)).cast("int")).join(salted, ["query", "source", "value", "salt"]).select("query", "source", "unit", "rank", "ranked")
 
 
 def _rank_columns(ranks: DataFrame, sources: Sequence[str]) -> DataFrame:
@@ -81,12 +86,24 @@ def _rank_columns(ranks: DataFrame, sources: Sequence[str]) -> DataFrame:
     )
 
 
-def rank_columns(hits: DataFrame, query: str, source: str, unit: str, value: Column, sources: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Rank columns of all queries. Rows without query, source, unit or value are left out; of several rows of a unit the best counts."""
-    rows = hits.select(F.col(query).alias("query"), F.col(source).alias("source"), F.col(unit).alias("unit"), value.alias("value")).dropna()
-    hot = rows.groupBy("query").count().where(F.col("count") > hot_rows).select("query")
+def valued_rows(hits: DataFrame, query: str, source: str, unit: str, value: Column) -> DataFrame:
+    return hits.select(F.col(query).alias("query"), F.col(source).alias("source"), F.col(unit).alias("unit"), value.alias("value")).dropna()
+
+
+def survey(rows: DataFrame, hot_rows: int = HOT_ROWS) -> tuple[list[str], DataFrame | None]:
+    """The sources, and the queries of more than ``hot_rows`` rows if there are any, from one scan.
+
+    The driver gets one row: the names of the sources, which become columns, and whether there are such queries."""
+    by_query = rows.groupBy("query").agg(F.count(F.lit(1)).alias("n"), F.collect_set("source").alias("sources"))
+    seen = by_query.agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("sources")))).alias("sources"), F.max("n").alias("most")).head()
+    hot = by_query.where(F.col("n") > hot_rows).select("query") if (seen["most"] or 0) > hot_rows else None
+    return seen["sources"] or [], hot
+
+
+def rank_columns(rows: DataFrame, sources: Sequence[str], hot: DataFrame | None) -> DataFrame:
+    """Rank columns of all queries, from ``valued_rows``; of several rows of a unit the best counts."""
     best = ["query", "source", "unit"]
-    if not hot.take(1):
+    if hot is None:
         # one shuffle by query serves the aggregate, the windows and the columns
         whole = rows.repartition("query").groupBy(*best).agg(F.max("value").alias("value"))
         return _rank_columns(_ranks_in_one_task(whole), sources)
@@ -132,12 +149,11 @@ def fused_ranking(hits: DataFrame, query: str, source: str, unit: str, value: Co
     """(query, unit, projection, position) of every unit, or of the first ``top`` of each query.
 
     Ties are broken by the unit's name. An empty table gives no rows."""
-    found = hits.select(F.col(source).alias("s")).where(F.col("s").isNotNull()).distinct().toLocalIterator()
-    sources = sorted(r[0] for r in found)
-    if not sources:
-        sources = [""]
+    rows = valued_rows(hits, query, source, unit, value)
+    sources, hot = survey(rows, hot_rows)
+    sources = sources or [""]
     names = [f"r{i}" for i in range(len(sources))]
-    columns = checkpointed(rank_columns(hits, query, source, unit, value, sources, hot_rows))
+    columns = checkpointed(rank_columns(rows, sources, hot))
     mean, sd, corr = correlation(columns, names)
     loadings = first_component(corr, sd)
     projection = F.lit(0.0)
@@ -145,6 +161,8 @@ def fused_ranking(hits: DataFrame, query: str, source: str, unit: str, value: Co
         if load:
             projection = projection + (F.col(name) - float(mu)) * float(load / s)
     scored = columns.select(F.col("query").alias(query), F.col("unit").alias(unit), projection.alias("projection"))
-    position = F.row_number().over(Window.partitionBy(query).orderBy(F.round("projection", 9).desc(), unit))
-    ranked = scored.withColumn("position", position)
-    return ranked if top is None else ranked.where(F.col("position") <= top)
+    order = [F.round("projection", 9).desc(), F.col(unit)]
+    if top is None:
+        # a hot query's units are numbered range by range
+        return row_numbers(scored, [query], order, "position", hot_rows, bound=columns.select(F.col("query").alias(query)))
+    return scored.withColumn("position", F.row_number().over(Window.partitionBy(query).orderBy(*order))).where(F.col("position") <= top)
