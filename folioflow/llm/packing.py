@@ -17,8 +17,8 @@ from folioflow.llm.tokens import FOLDER, NAME, byte_bpe
 from folioflow.session import checkpointed
 
 CAPACITY = 8192
-#: Characters of text that one shard takes; a shard's state is one array of CAPACITY counts.
-SHARD_CHARACTERS = 64_000_000
+#: Tokens that one shard takes, and items, whose sizes one task holds: more shards, not fewer items, where either is more.
+SHARD_TOKENS, SHARD_ITEMS = 16_000_000, 200_000
 #: A container is packed again in the next round if it is less full than this.
 FULL = 0.98
 
@@ -110,7 +110,8 @@ def pack_sizes(sizes: DataFrame, key: str, capacity: int = CAPACITY, shards: int
 
     first = checkpointed(pieces.withColumn("shard", shard).groupBy("shard").applyInPandas(pack, schema))
     moved = _merge_open(first.where(F.col("fill").between(1, int(capacity * FULL) - 1)), capacity, shards, fan_in)
-    placed = first.join(moved, "container", "left") if moved is not None else first.withColumn("target", F.lit(None).cast("bigint")).withColumn("target_fill", F.lit(None).cast("int"))
+    # both sides grow with the items, so the join is never a broadcast
+    placed = first.join(moved.hint("merge"), "container", "left") if moved is not None else first.withColumn("target", F.lit(None).cast("bigint")).withColumn("target_fill", F.lit(None).cast("int"))
     return placed.select(
         F.col("_key").cast(kind).alias(key),
         "piece_no",
@@ -151,12 +152,12 @@ def _merge_open(rows: DataFrame, capacity: int, shards: int, fan_in: int) -> Dat
     return moved
 
 
-def shard_count(characters: int, per_shard: int = SHARD_CHARACTERS) -> int:
-    return max(1, -(-characters // per_shard))
+def shard_count(items: int, tokens: int) -> int:
+    return max(1, -(-tokens // SHARD_TOKENS), -(-items // SHARD_ITEMS))
 
 
 def pack_documents(documents: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, folder: str = FOLDER, name: str = NAME) -> DataFrame:
-    """All documents in containers of ``capacity`` tokens; see ``pack_sizes``. The number of shards follows the amount of text."""
-    rows, characters = documents.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length(text)), F.lit(0))).head()
-    shards = max(shard_count(characters), -(-rows // 200_000), 1)
-    return pack_sizes(document_tokens(documents, key, text, folder, name), key, capacity, shards)
+    """All documents in containers of ``capacity`` tokens; see ``pack_sizes``. The texts are read once; the number of shards follows the tokens and the documents."""
+    sizes = checkpointed(document_tokens(documents, key, text, folder, name))
+    items, tokens = sizes.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_tokens"), F.lit(0))).head()
+    return pack_sizes(sizes, key, capacity, shard_count(items, tokens))
