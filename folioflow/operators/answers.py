@@ -70,8 +70,9 @@ def linked_answers(answers: DataFrame, refs: DataFrame, key: str) -> DataFrame:
     """Answers (key, text) with every known [REF:n] as a link, unknown ones as they stand.
 
     ``refs`` has (key, ref_id, filename, page). The marks are exploded and joined, and the text is put together again in order."""
-    bits = F.split(F.col("text"), r"(?=\[REF:\d+\])|(?<=\[REF:\d{1,9}\])")
-    parts = answers.select(key, F.posexplode(bits).alias("pos", "bit")).withColumn("ref_id", F.nullif(F.regexp_extract("bit", r"^\[REF:(\d+)\]$", 1), F.lit("")).cast("int"))
+    # marks and what stands between them, in turn
+    bits = F.regexp_extract_all(F.col("text"), F.lit(r"\[REF:\d+\]|(?s:(?!\[REF:\d+\]).)+"), 0)
+    parts = answers.select(key, F.posexplode_outer(bits).alias("pos", "bit")).withColumn("ref_id", F.expr(r"try_cast(nullif(regexp_extract(bit, '^\\[REF:(\\d+)\\]$', 1), '') AS int)"))
     joined = parts.join(refs.select(key, "ref_id", "filename", "page"), [key, "ref_id"], "left")
     link = F.format_string('<a href="https://docs.local/files/%s#page=%d">[%d]</a>', F.col("filename"), F.col("page"), F.col("ref_id"))
     shown = joined.withColumn("bit", F.when(F.col("filename").isNotNull(), link).otherwise(F.col("bit")))

@@ -47,16 +47,18 @@ def has_visual(text: Column) -> Column:
 
 def layout_type(filetype: Column, text: Column, tier: Column) -> Column:
     """A page's layout label. NULL and blank texts are empty, but for sheets and slides, which go by file type."""
-    lines = lines_of(text)
-    return (
-        F.when(filetype == "xlsx", "spreadsheet")
-        .when(filetype == "pptx", "presentation_slide")
-        .when(F.size(lines) == 0, "empty")
-        .when(table_lines(lines) >= 4, F.when(tier == "high", "dense_table").otherwise("table"))
-        .when(has_visual(text) | (bullet_lines(lines) >= 4), "visual_heavy")
-        .when(tier == "high", "longform_text")
-        .otherwise("narrative_text")
-    )
+    counts = _let(lines_of(text), lambda ls: F.struct(F.size(ls).alias("lines"), table_lines(ls).alias("table"), bullet_lines(ls).alias("bullets")))
+
+    def label(c: Column) -> Column:
+        return (
+            F.when(c["lines"] == 0, "empty")
+            .when(c["table"] >= 4, F.when(tier == "high", "dense_table").otherwise("table"))
+            .when(has_visual(text) | (c["bullets"] >= 4), "visual_heavy")
+            .when(tier == "high", "longform_text")
+            .otherwise("narrative_text")
+        )
+
+    return F.when(filetype == "xlsx", "spreadsheet").when(filetype == "pptx", "presentation_slide").otherwise(_let(counts, label))
 
 
 def words_of(text: Column) -> Column:
@@ -111,8 +113,8 @@ def markdown_chunks(pages: DataFrame, key: Sequence[str], text: str, breaks=head
 
 
 def word_count(text: Column) -> Column:
-    """The number of longest runs of characters other than white space."""
-    return F.size(F.filter(F.split(text, r"[ \t\r\n]+"), lambda w: w != ""))
+    """The number of longest runs of characters other than white space; 0 for NULL."""
+    return F.coalesce(F.regexp_count(text, F.lit(r"[^ \t\r\n]+")), F.lit(0))
 
 
 def packed_breaks(limit: int, count=word_count):

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _DASH = "[—–-]"
-# The words of the period and unit qualifiers that are set aside.
+# The patterns of periods, comparisons and units, of names with their abbreviation and of numbers, as the canonical forms are
+# defined. SUFFIX is one alternation since several qualifiers may follow each other in any order.
 DELTA = r"(?i)\b(?:change|qoq|yoy|vs\.?|versus|delta|growth)\b"
 QUARTER = r"(?i)\bq([1-4])\s*[/\s]?\s*(\d{2,4})\b"
 FISCAL = r"(?i)\bfy\s*[/\s]?\s*(\d{2,4})\b"

@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections import Counter
+from collections.abc import Iterator, Sequence
+from itertools import islice
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioflow.operators.ranks import row_numbers
-from folioflow.session import checkpointed, small_side
+from folioflow.session import checkpointed
 
 K1, B = 1.2, 0.75
 TERM_CAP = 6
+#: Queries that are searched for at once: their terms are sent to every executor.
+QUERY_BLOCK = 4096
+_TERM = re.compile("[a-z0-9]+")
 
 
 def terms_of(text: Column) -> Column:
@@ -38,23 +46,77 @@ def query_text(terms: Column, fallback: Column, cap: int = TERM_CAP) -> Column:
     return F.when(F.size(first) > 0, joined).when(rest == "", fallback).otherwise(quoted(rest))
 
 
+def _term_counts(texts: DataFrame, unit: str, text: str, asked: dict[str, int]) -> DataFrame:
+    """(unit, length, terms, times) of every text in one pass: its number of terms, and of those asked for the numbers and how often they stand in it."""
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            counts = [Counter(_TERM.findall(body.lower())) for body in batch["text"]]
+            found = [[t for t in c if t in asked] for c in counts]
+            yield pd.DataFrame({
+                "unit": batch["unit"],
+                "length": [c.total() for c in counts],
+                "terms": [[asked[t] for t in ts] for ts in found],
+                "times": [[c[t] for t in ts] for c, ts in zip(counts, found, strict=True)],
+            })
+
+    # ids go to Python and back as text: pandas would turn a nullable integer into a float
+    picked = texts.where(F.col(unit).isNotNull()).select(F.col(unit).cast("string").alias("unit"), F.coalesce(text, F.lit("")).alias("text"))
+    return picked.mapInPandas(cut, "unit string, length bigint, terms array<int>, times array<int>")
+
+
+def _scored(texts: DataFrame, block: list[tuple], unit: str, text: str, k: int | None, k1: float, b: float) -> DataFrame:
+    """(query_id, unit, score) as text and number of a block of (query id, terms); of each task's texts the ``k`` best of each query, and those equal to them."""
+    asked = {t: n for n, t in enumerate(dict.fromkeys(t for _, terms in block for t in terms))}
+    counts = checkpointed(_term_counts(texts, unit, text, asked))
+    n, total = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))).head()
+    df = np.zeros(len(asked))
+    # a row for each term of the block's queries
+    for row in counts.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("df")).toLocalIterator():
+        df[row["t"]] = row["df"]
+    idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
+    pairs = sorted((asked[t], q) for q, (_, terms) in enumerate(block) for t in terms)
+    owners = np.array([q for _, q in pairs], dtype=np.int64)
+    first = np.searchsorted(np.array([t for t, _ in pairs], dtype=np.int64), np.arange(len(asked) + 1))
+    sent = texts.sparkSession.sparkContext.broadcast(([i for i, _ in block], idf, owners, first, total / n if n else 1.0))  # at most QUERY_BLOCK queries
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names, idf, owners, first, mean = sent.value
+        names = np.array(names, dtype=object)
+        for whole in batches:
+            step = max(1, 4_000_000 // max(1, len(names)))
+            for low in range(0, len(whole), step):
+                batch = whole.iloc[low : low + step]
+                sizes = batch["terms"].map(len).to_numpy()
+                if not sizes.sum():
+                    continue
+                row = np.repeat(np.arange(len(batch)), sizes)
+                term, times = np.concatenate(batch["terms"].tolist()), np.concatenate(batch["times"].tolist()).astype(float)
+                part = idf[term] * times * (k1 + 1) / (times + k1 * (1 - b + b * batch["length"].to_numpy()[row] / mean))
+                fan = first[term + 1] - first[term]
+                at = np.repeat(first[term], fan) + np.arange(fan.sum()) - np.repeat(np.cumsum(fan) - fan, fan)
+                scores = np.bincount(np.repeat(row, fan) * len(names) + owners[at], np.repeat(part, fan), minlength=len(batch) * len(names)).reshape(len(batch), -1)
+                kept = scores > 0
+                if k is not None and len(batch) > k:
+                    shown = np.round(scores, 9)
+                    kept &= shown >= np.partition(shown, len(batch) - k, axis=0)[len(batch) - k]
+                i, q = np.nonzero(kept)
+                yield pd.DataFrame({"query_id": names[q], "unit": batch["unit"].to_numpy()[i], "score": scores[i, q]})
+
+    return counts.mapInPandas(score, "query_id string, unit string, score double")
+
+
 def bm25(texts: DataFrame, queries: DataFrame, unit: str, text: str, k: int | None = 20, k1: float = K1, b: float = B) -> DataFrame:
     """(query_id, unit, score, rank): Okapi BM25 of each query's distinct terms; ``queries`` has (query_id, terms).
 
-    Postings are made of the queries' terms only, counted inside each text, so that a text's rows do not move before they are few.
-    Length and number of texts are taken over all of them."""
-    wanted = queries.select("query_id", F.explode(F.array_distinct("terms")).alias("term"))
-    vocabulary = [r[0] for r in wanted.select("term").distinct().toLocalIterator()]  # the words of the stated queries
-    # the texts are cut into terms once; what is kept of each is its length and the terms asked for
-    cut = F.get(F.transform(F.array(terms_of(F.col(text))), lambda ts: F.struct(F.size(ts).alias("length"), F.filter(ts, lambda t: t.isin(*vocabulary)).alias("hits"))), F.lit(0))
-    sized = checkpointed(texts.where(F.col(unit).isNotNull()).select(F.col(unit).alias("unit"), cut.alias("c")).select("unit", "c.length", "c.hits"))
-    total = sized.agg(F.count(F.lit(1)).alias("n_texts"), F.avg("length").alias("mean_length"))
-    postings = sized.where(F.size("hits") > 0).select("unit", "length", F.explode("hits").alias("term")).groupBy("unit", "length", "term").agg(F.count(F.lit(1)).alias("tf"))
-    df = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    joined = postings.join(small_side(wanted), "term").join(F.broadcast(df), "term").join(F.broadcast(total))  # df: a row for each query word; total: one row
-    idf = F.log(1 + (F.col("n_texts") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    part = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("length") / F.col("mean_length")))
-    scored = joined.groupBy("query_id", "unit").agg(F.sum(part).alias("score"))
+    Queries come in blocks of ``QUERY_BLOCK``, for each of which the texts are read once; what is kept of a text are the counts of the terms asked for. Every task
+    keeps its own best of each query, so that only those move. Length and number of texts are taken over all of them. NULL ids are left out; no terms give no rows."""
+    rows = queries.where(F.col("query_id").isNotNull()).select(F.col("query_id").cast("string"), F.array_distinct("terms").alias("terms")).toLocalIterator()
+    result = None
+    while (block := [(r[0], r[1] or []) for r in islice(rows, QUERY_BLOCK)]) or result is None:
+        part = _scored(texts, block, unit, text, k, k1, b)
+        result = part if result is None else result.unionByName(part)
+    scored = result.select(F.col("query_id").cast(queries.schema["query_id"].dataType), F.col("unit").cast(texts.schema[unit].dataType), "score")
     order = [F.round("score", 9).desc(), F.col("unit")]
     if k is None:
         return row_numbers(scored, ["query_id"], order, "rank").withColumnRenamed("unit", unit)

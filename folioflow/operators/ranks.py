@@ -11,17 +11,20 @@ from folioflow.session import checkpointed, small_side
 
 #: Rows of a group from which it is numbered by several tasks. Both ways give the same numbers if the order is total.
 HOT_ROWS = 5_000_000
+UNCOUNTED = object()
 
 
-def row_numbers(df: DataFrame, group: Sequence[str], order: Sequence[Column], into: str, hot_rows: int = HOT_ROWS, bound: DataFrame | None = None) -> DataFrame:
+def row_numbers(df: DataFrame, group: Sequence[str], order: Sequence[Column], into: str, hot_rows: int = HOT_ROWS, bound: DataFrame | None = None, hot=UNCOUNTED) -> DataFrame:
     """``df`` with ``into``: each row's place in its group by ``order``, from 1. ``bound``: rows of which each group has at least as many
-    as in ``df``, if those are cheaper to count.
+    as in ``df``, if those are cheaper to count; ``hot``: the groups of very many rows, or None for none, if that is known.
 
     Groups of usual size take one window. Larger ones are spread by ranges of (group, order), numbered range by range, and raised by the
     rows in the ranges before; the ranges are fixed in a checkpoint first, since sampling them anew could move rows."""
     window = Window.partitionBy(*group).orderBy(*order)
-    hot = (df if bound is None else bound).groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(*group)
-    if not hot.take(1):
+    if hot is UNCOUNTED:
+        hot = (df if bound is None else bound).groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(*group)
+        hot = hot if hot.take(1) else None
+    if hot is None:
         return df.withColumn(into, F.row_number().over(window))
     named = small_side(hot.select(*[F.col(g).alias(f"_hot_{g}") for g in group]))
     same = [F.col(g).eqNullSafe(F.col(f"_hot_{g}")) for g in group]

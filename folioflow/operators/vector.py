@@ -22,6 +22,19 @@ def _unit_rows(vectors: list) -> tuple[np.ndarray, np.ndarray]:
     return matrix / np.where(good, lengths, 1.0)[:, None], good
 
 
+def _nearest_rows(found: np.ndarray, keys: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of the ``k`` smallest of each column, to nine digits, ties by key."""
+    if len(found) <= k:
+        row, column = np.indices(found.shape)
+        return row.ravel(), column.ravel()
+    near = np.round(found, 9)
+    inside = near <= np.partition(near, k - 1, axis=0)[k - 1]
+    for j in np.flatnonzero(inside.sum(axis=0) > k):
+        tied = np.flatnonzero(inside[:, j])
+        inside[tied[np.lexsort((keys[tied], near[tied, j]))[k:]], j] = False
+    return np.nonzero(inside)
+
+
 def nearest(content: DataFrame, queries: DataFrame, k: int = TOP_K, unit: str = "unit", vector: str = "vector", query: str = "query") -> DataFrame:
     """(query, unit, distance, rank): the ``k`` units nearest to each query by cosine distance, ties by unit.
 
@@ -52,12 +65,12 @@ def nearest(content: DataFrame, queries: DataFrame, k: int = TOP_K, unit: str =
                     if not len(own) or not names:
                         continue
                     units, good = _unit_rows(own[vector].tolist())
-                    found = 1.0 - units[good] @ matrix.T
                     keys = own[unit].to_numpy()[good]
-                    order = np.lexsort((np.broadcast_to(keys[:, None], found.shape), np.round(found, 9)), axis=0)[:k] if len(keys) > k else np.tile(np.arange(len(keys))[:, None], (1, len(names)))
-                    yield pd.DataFrame(
-                        {query: np.tile(np.array(names), len(order)), unit: keys[order].ravel(), "distance": np.take_along_axis(found, order, axis=0).ravel()}
-                    )
+                    for low in range(0, len(names), 256):
+                        part = names[low : low + 256]
+                        found = 1.0 - units[good] @ matrix[low : low + 256].T
+                        row, column = _nearest_rows(found, keys, k)
+                        yield pd.DataFrame({query: np.array(part)[column], unit: keys[row], "distance": found[row, column]})
 
         return content.where((F.size(vector) > 0) & F.col(unit).isNotNull()).select(unit, vector).mapInPandas(local, kinds)
 

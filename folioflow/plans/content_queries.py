@@ -33,7 +33,7 @@ _PAGES = f"""p AS (SELECT *, {_LINES} AS l, len(regexp_extract_all(coalesce(raw_
 
 def _pages(spark, d):
     p = table(spark, d, "page_results")
-    return p.withColumn("n", F.size(content.words_of(F.col("raw_content"))))
+    return p.withColumn("n", content.word_count(F.col("raw_content")))
 
 
 @query(f"WITH {_PAGES} SELECT page_result_id, n::INT AS n_tokens, {_TIER} AS tier FROM p")
@@ -107,7 +107,7 @@ def truncated_content(spark, d):
 def recounted_tokens(spark, d):
     """C08"""
     text = content.embedding_text([F.col("chunk_header"), F.col("raw_content")])
-    return table(spark, d, "page_results").select("page_result_id", F.size(content.words_of(F.col("raw_content"))).alias("raw_tokens"), F.size(content.words_of(text)).alias("embedding_tokens"))
+    return table(spark, d, "page_results").select("page_result_id", content.word_count(F.col("raw_content")).alias("raw_tokens"), content.word_count(text).alias("embedding_tokens"))
 
 
 @query(

@@ -13,7 +13,6 @@ from folioflow.session import small_side, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
-TERMS = ["net interest margin", "CET1 ratio", "liquidity", "5% deposit volumes"]
 
 
 def query(sql: str | None = None):
@@ -44,43 +43,23 @@ def vec_topk(spark, d):
     return vector.nearest(*_vectors(spark, d)).select("query", "unit", F.round("distance", 6).alias("distance"), "rank")
 
 
-@query("SELECT vec_id, label, round(list_cosine_distance(embedding::DOUBLE[], (SELECT embedding FROM embeddings WHERE vec_id = 0)::DOUBLE[]), 6) AS distance FROM embeddings")
-def vec_distance(spark, d):
-    """R01 as an expression: one query vector against all rows."""
-    e = table(spark, d, "embeddings")
-    q = e.where("vec_id = 0").select(F.col("embedding").alias("q"))
-    return e.join(F.broadcast(q)).select("vec_id", "label", F.round(cosine_distance(F.col("embedding"), F.col("q")), 6).alias("distance"))  # q: one row
-
-
 @query(
     """SELECT q.vec_id AS query, e.vec_id AS unit, round(list_cosine_distance(e.embedding::DOUBLE[], q.embedding::DOUBLE[]), 6) AS distance
 FROM embeddings e JOIN embeddings q ON len(q.embedding) = len(e.embedding) WHERE q.vec_id % 100 = 0"""
 )
-def vec_distance_all(spark, d):
+def vec_distance(spark, d):
     """R01 as an expression, for every query vector."""
     content, asked = _vectors(spark, d)
     pairs = content.join(small_side(asked.select("query", F.col("vector").alias("q"))), F.size("vector") == F.size("q"))
     return pairs.select("query", "unit", F.round(cosine_distance(F.col("vector"), F.col("q")), 6).alias("distance"))
 
 
-@query(
-    f"""{_TOPK}, n AS (SELECT query, unit, (1 - distance / max(distance) OVER (PARTITION BY query)) / 5 AS part FROM top WHERE query IN (0, 100, 200, 300, 400))
-SELECT unit, round(sum(part), 6) AS score FROM n GROUP BY 1"""
-)
-def vec_topk_multi(spark, d):
-    """Five sub-queries normalised alone, a fifth of the weight each."""
-    content, asked = _vectors(spark, d)
-    top = vector.nearest(content, asked.where(F.col("query").isin(0, 100, 200, 300, 400)))
-    part = (1 - F.col("distance") / F.max("distance").over(Window.partitionBy("query"))) / 5
-    return top.withColumn("part", part).groupBy("unit").agg(F.round(F.sum("part"), 6).alias("score"))
-
-
 @query(
     f"""{_TOPK}, g AS (SELECT vec_id // 500 AS questions, count(*) AS parts FROM embeddings WHERE vec_id % 100 = 0 GROUP BY 1),
 n AS (SELECT query // 500 AS questions, unit, 1 - distance / max(distance) OVER (PARTITION BY query) AS v FROM top)
 SELECT questions, unit, round(sum(v / parts), 6) AS score FROM n JOIN g USING (questions) GROUP BY 1, 2"""
 )
-def vec_topk_multi_all(spark, d):
+def vec_topk_multi(spark, d):
     """All query vectors in groups of five sub-queries (the last may have fewer), each normalised alone, with equal parts of the weight."""
     content, asked = _vectors(spark, d)
     group = F.floor(F.col("query") / 500).alias("questions")
@@ -90,31 +69,14 @@ def vec_topk_multi_all(spark, d):
     return scored.groupBy("questions", "unit").agg(F.round(F.sum(F.col("v") / F.col("parts")), 6).alias("score"))
 
 
-@query(
-    """WITH s AS (SELECT label, round(list_cosine_distance(list(embedding ORDER BY vec_id)[1]::DOUBLE[], (SELECT embedding FROM embeddings WHERE vec_id = 0)::DOUBLE[]), 9) AS distance FROM embeddings GROUP BY 1),
-n AS (SELECT label, CASE WHEN max(distance) OVER () = 0 THEN 1 ELSE 1 - distance / max(distance) OVER () END AS v FROM s)
-SELECT e.vec_id AS unit, round(max(n.v), 6) AS score FROM embeddings e JOIN n USING (label) GROUP BY 1"""
-)
-def section_spread(spark, d):
-    """Sections (labels, with their first row's vector) by distance, their normalised values spread to their units."""
-    e = table(spark, d, "embeddings")
-    sections = e.groupBy("label").agg(F.min_by("embedding", "vec_id").alias("vector"))
-    q = e.where("vec_id = 0").select(F.col("embedding").alias("q"))
-    near = sections.join(F.broadcast(q)).select("label", F.round(cosine_distance(F.col("vector"), F.col("q")), 9).alias("distance"))  # q: one row
-    top = near.agg(F.max("distance").alias("m"))
-    value = F.when(F.col("m") == 0, 1.0).otherwise(1 - F.col("distance") / F.col("m"))
-    scored = near.join(F.broadcast(top)).select("label", value.alias("v"))  # top: one row
-    return e.join(scored, "label").groupBy(F.col("vec_id").alias("unit")).agg(F.round(F.max("v"), 6).alias("score"))
-
-
 @query(
     """WITH sec AS (SELECT label, arg_min(embedding, vec_id) AS vector FROM embeddings GROUP BY 1),
 s AS (SELECT q.vec_id AS query, sec.label, round(list_cosine_distance(vector::DOUBLE[], q.embedding::DOUBLE[]), 9) AS distance FROM sec JOIN embeddings q ON len(q.embedding) = len(vector) WHERE q.vec_id % 100 = 0),
 n AS (SELECT query, label, CASE WHEN max(distance) OVER (PARTITION BY query) = 0 THEN 1 ELSE 1 - distance / max(distance) OVER (PARTITION BY query) END AS v FROM s)
 SELECT n.query, e.vec_id AS unit, round(max(n.v), 6) AS score FROM embeddings e JOIN n USING (label) GROUP BY 1, 2"""
 )
-def section_spread_all(spark, d):
-    """As ``section_spread``, for every query vector."""
+def section_spread(spark, d):
+    """Sections (labels, with their first row's vector) by distance to every query vector, their normalised values spread to their units."""
     _, asked = _vectors(spark, d)
     e = table(spark, d, "embeddings")
     sections = e.groupBy("label").agg(F.min_by("embedding", "vec_id").alias("section"))
@@ -126,27 +88,6 @@ def section_spread_all(spark, d):
     return e.join(scored, "label").groupBy("query", F.col("vec_id").alias("unit")).agg(F.round(F.max("v"), 6).alias("score"))
 
 
-_BM25_TERMS = "(VALUES (1, 'net'), (1, 'interest'), (1, 'margin'), (2, 'cet1'), (2, 'ratio'), (3, 'liquidity'), (4, 'deposit'), (4, 'volumes')) q(query_id, term)"
-
-
-def _bm25_queries(spark):
-    return spark.createDataFrame([(1, ["net", "interest", "margin"]), (2, ["cet1", "ratio"]), (3, ["liquidity"]), (4, ["deposit", "volumes"])], "query_id int, terms array<string>")
-
-
-@query(
-    f"""WITH t AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]+') AS tokens FROM documents),
-n AS (SELECT count(*) AS n, avg(len(tokens)) AS m FROM t),
-p AS (SELECT doc_id, len, term, count(*) AS tf FROM (SELECT doc_id, len(tokens) AS len, unnest(tokens) AS term FROM t) WHERE term IN (SELECT term FROM {_BM25_TERMS}) GROUP BY ALL),
-f AS (SELECT term, count(*) AS df FROM p GROUP BY 1),
-s AS (SELECT q.query_id, p.doc_id, sum(ln(1 + (n.n - f.df + 0.5) / (f.df + 0.5)) * p.tf * 2.2 / (p.tf + 1.2 * (0.25 + 0.75 * p.len / n.m))) AS score
-  FROM p JOIN {_BM25_TERMS} USING (term) JOIN f USING (term) CROSS JOIN n GROUP BY ALL)
-SELECT query_id, doc_id, round(score, 6) AS score, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc_id) AS rank FROM s"""
-)
-def bm25(spark, d):
-    """Okapi BM25 of four queries over all documents."""
-    return lexical.bm25(table(spark, d, "documents"), _bm25_queries(spark), "doc_id", "text", None).withColumn("score", F.round("score", 6))
-
-
 @query(
     """WITH q AS (SELECT DISTINCT item_id AS query_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]+')) AS term FROM eval_items),
 t AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]+') AS tokens FROM documents),
@@ -155,12 +96,12 @@ p AS (SELECT doc_id, len, term, count(*) AS tf FROM (SELECT doc_id, len(tokens)
 f AS (SELECT term, count(*) AS df FROM p GROUP BY 1),
 s AS (SELECT q.query_id, p.doc_id, sum(ln(1 + (n.n - f.df + 0.5) / (f.df + 0.5)) * p.tf * 2.2 / (p.tf + 1.2 * (0.25 + 0.75 * p.len / n.m))) AS score
   FROM p JOIN q USING (term) JOIN f USING (term) CROSS JOIN n GROUP BY ALL)
-SELECT query_id, doc_id, round(score, 6) AS score, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc_id) AS rank FROM s"""
+SELECT query_id, doc_id, round(score, 6) AS score, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc_id) AS rank FROM s QUALIFY rank <= 20"""
 )
-def bm25_items(spark, d):
-    """Okapi BM25 of the benchmark texts over all documents."""
+def bm25(spark, d):
+    """The 20 best documents of every benchmark text by Okapi BM25 over all documents."""
     asked = table(spark, d, "eval_items").select(F.col("item_id").alias("query_id"), lexical.terms_of(F.col("text")).alias("terms"))
-    return lexical.bm25(table(spark, d, "documents"), asked, "doc_id", "text", None).withColumn("score", F.round("score", 6))
+    return lexical.bm25(table(spark, d, "documents"), asked, "doc_id", "text").withColumn("score", F.round("score", 6))
 
 
 @query(
@@ -225,14 +166,16 @@ def normalize(spark, d):
 def fusion_rank(spark, d):
     """The flagship query, eight strategies fused by weight."""
     hits = table(spark, d, "search_results")
-    return fusion.ranked(fusion.fused(hits), hits=hits).select("query_id", "content_unit_id", F.round("score", 6).alias("score"), "position")
+    hot = fusion.hot_queries(hits)
+    return fusion.ranked(fusion.fused(hits, hot=hot), hot=hot).select("query_id", "content_unit_id", F.round("score", 6).alias("score"), "position")
 
 
 @query(f"WITH {_NORMAL} SELECT query_id, position <= 10 AS forwarded, count(*) AS units FROM r GROUP BY ALL")
 def candidate_cut(spark, d):
     """O09"""
     hits = table(spark, d, "search_results")
-    r = fusion.ranked(fusion.fused(hits), hits=hits)
+    hot = fusion.hot_queries(hits)
+    r = fusion.ranked(fusion.fused(hits, hot=hot), hot=hot)
     return r.groupBy("query_id", (F.col("position") <= 10).alias("forwarded")).agg(F.count(F.lit(1)).alias("units"))
 
 
@@ -271,8 +214,10 @@ SELECT query_id, content_unit_id, position, removed AS restored FROM k WHERE NOT
 )
 def rerank_keep(spark, d):
     """A judge removed two of three candidates; the best come back up to the floor."""
-    c = fusion.ranked(fusion.fused(table(spark, d, "search_results")), k=30).select("query_id", "content_unit_id", "position")
-    removed = c.where("position % 3 <> 0").select("query_id", "position")
+    hits = table(spark, d, "search_results")
+    c = fusion.ranked(fusion.fused(hits), k=30).select("query_id", "content_unit_id", "position")
+    judged = F.explode(F.filter(F.sequence(F.lit(1), F.lit(30)), lambda p: p % 3 != 0)).alias("position")
+    removed = hits.select("query_id").distinct().select("query_id", judged)
     return fusion.kept_by_judge(c, removed, 12).select("query_id", "content_unit_id", "position", "restored")
 
 
@@ -292,21 +237,11 @@ def reading_order(spark, d):
     return expand.numbered(_units(spark, d)).select("document_version_id", "content_unit_id", "place")
 
 
-@query(
-    f"""WITH {_UNITS} SELECT t.document_version_id, t.content_unit_id AS trigger, o.content_unit_id, o.place FROM o t JOIN o
-ON o.document_version_id = t.document_version_id AND o.place BETWEEN t.place - 4 AND t.place + 4 WHERE t.page_result_id % 100 = 0"""
-)
-def neighbors(spark, d):
-    """W02"""
-    u = _units(spark, d)
-    return expand.neighbours(u, u.where("page_result_id % 100 = 0")).select("document_version_id", "trigger", "content_unit_id", "place")
-
-
 @query(
     f"""WITH {_UNITS} SELECT t.document_version_id, t.content_unit_id AS trigger, o.content_unit_id, o.place FROM o t JOIN o
 ON o.document_version_id = t.document_version_id AND o.place BETWEEN t.place - 4 AND t.place + 4"""
 )
-def neighbors_all(spark, d):
+def neighbors(spark, d):
     """The neighbours of every unit."""
     u = _units(spark, d)
     return expand.neighbours(u, u).select("document_version_id", "trigger", "content_unit_id", "place")
@@ -336,7 +271,7 @@ def expand_strategy(spark, d):
     return _planned(spark, d).select("page_result_id", "strategy")
 
 
-_EXPANDED = f"""{_SECTIONS}, hit AS (SELECT *, page_result_id / 1000.0::DOUBLE AS score FROM plan WHERE page_result_id % 100 = 0),
+_EXPANDED = f"""{_SECTIONS}, hit AS (SELECT *, 1.0::DOUBLE / (1 + coalesce(token_count, 0)) AS score FROM plan JOIN (SELECT page_result_id, token_count FROM page_results) USING (page_result_id)),
 x AS (SELECT h.document_version_id, h.content_unit_id AS trigger, h.strategy, p.content_unit_id, h.score FROM hit h JOIN plan p ON p.document_version_id = h.document_version_id AND p.root = h.root WHERE h.strategy = 'full_section'
   UNION ALL SELECT h.document_version_id, h.content_unit_id, h.strategy, p.content_unit_id, h.score FROM hit h JOIN plan p ON p.document_version_id = h.document_version_id AND p.section_id = h.section_id WHERE h.strategy = 'subsection'
   UNION ALL SELECT h.document_version_id, h.content_unit_id, h.strategy, o.content_unit_id, h.score FROM hit h JOIN o t ON t.page_result_id = h.page_result_id
@@ -345,10 +280,9 @@ x AS (SELECT h.document_version_id, h.content_unit_id AS trigger, h.strategy, p.
 
 @query(f"WITH {_EXPANDED} SELECT document_version_id, trigger, strategy, content_unit_id, CASE WHEN trigger = content_unit_id THEN score ELSE 0 END AS score, trigger = content_unit_id AS is_original FROM x")
 def expand_hits(spark, d):
-    """R17"""
+    """Every unit as a hit, short ones first."""
     planned = _planned(spark, d)
-    hits = planned.where("page_result_id % 100 = 0").withColumn("score", F.col("page_result_id") / 1000.0)
-    return expand.expanded(planned, hits)
+    return expand.expanded(planned, planned.withColumn("score", 1.0 / (1 + F.coalesce("token_count", F.lit(0)))))
 
 
 @query(f"WITH {_EXPANDED} SELECT document_version_id, content_unit_id, bool_or(trigger = content_unit_id) AS is_original, max(CASE WHEN trigger = content_unit_id THEN score ELSE 0 END) AS score FROM x GROUP BY 1, 2")
@@ -357,22 +291,6 @@ def dedup_prefer_original(spark, d):
     return expand.deduplicated(expand_hits(spark, d)).drop("triggers")
 
 
-_EXPANDED_ALL = _EXPANDED.replace(" WHERE page_result_id % 100 = 0", "")
-
-
-@query(f"WITH {_EXPANDED_ALL} SELECT document_version_id, trigger, strategy, content_unit_id, CASE WHEN trigger = content_unit_id THEN score ELSE 0 END AS score, trigger = content_unit_id AS is_original FROM x")
-def expand_hits_all(spark, d):
-    """Every unit as a hit."""
-    planned = _planned(spark, d)
-    return expand.expanded(planned, planned.withColumn("score", F.col("page_result_id") / 1000.0))
-
-
-@query(f"WITH {_EXPANDED_ALL} SELECT document_version_id, content_unit_id, bool_or(trigger = content_unit_id) AS is_original, max(CASE WHEN trigger = content_unit_id THEN score ELSE 0 END) AS score FROM x GROUP BY 1, 2")
-def dedup_prefer_original_all(spark, d):
-    """R18, A12"""
-    return expand.deduplicated(expand_hits_all(spark, d)).drop("triggers")
-
-
 _FOUND = f"""{_NORMAL}, {_SECTIONS},
 hit AS (SELECT s.query_id, p.*, f.score FROM (SELECT DISTINCT query_id, document_version_id, content_unit_id FROM search_results) s
   JOIN plan p ON p.document_version_id = s.document_version_id AND p.content_unit_id = s.content_unit_id JOIN f ON f.query_id = s.query_id AND f.content_unit_id = s.content_unit_id),

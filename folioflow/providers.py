@@ -6,6 +6,7 @@ import hashlib
 import json
 import re
 import time
+from collections import Counter
 from collections.abc import Callable, Iterator
 from typing import Any, Protocol
 
@@ -27,8 +28,8 @@ class Offline:
     """Answers without a model: headings are sections and breakpoints, frequent words are keywords, nothing is removed."""
 
     def call(self, stage: str, prompt: str) -> str:
-        words = re.findall(r"[A-Za-z][A-Za-z0-9]{3,}", prompt)
-        often = sorted(set(words), key=lambda w: (-words.count(w), w))[:5] if len(words) < 5000 else sorted(set(words))[:5]
+        counts = Counter(re.findall(r"[A-Za-z][A-Za-z0-9]{3,}", prompt))
+        often = sorted(counts, key=lambda w: (-counts[w], w))[:5]
         names = list(dict.fromkeys(re.findall(r"\b[A-Z][a-z]+(?: [A-Z][a-z]+)+\b", prompt)))[:4]
         lines = prompt.splitlines()
         heads = [i + 1 for i, x in enumerate(lines) if x.startswith("#")]
