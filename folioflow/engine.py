@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.operators import expand, fusion, lexical, store, vector
+from folioflow.operators import expand, fusion, lexical, research, store, vector
 from folioflow.providers import embedded
 
 
@@ -66,22 +66,32 @@ def retrieve(pages: DataFrame, questions: DataFrame, options: Options = Options(
     return context(content, search(content, questions, options), options)
 
 
-def follow_up(content: DataFrame, questions: DataFrame, more, options: Options = Options()) -> DataFrame:
-    """Hits of the questions and of the follow-up questions that ``more`` asks after each round, until it asks none, only asks again
-    what was asked, finds nothing new or the rounds are used up. ``more`` maps (round, hits) to a DataFrame (query_id, text)."""
+def follow_up(content: DataFrame, questions: DataFrame, more, options: Options = Options(), told=None) -> DataFrame:
+    """Hits of the questions and of the follow-up questions that ``more`` asks after each round, until it asks none, the rounds are used up, it asks again
+    what it asked the round before without more confidence, or nothing new is found. ``more`` maps (round, hits) to (a DataFrame (query_id, text) or None, the confidence
+    so far); ``told`` is called with the reason."""
     from folioflow.session import checkpointed
 
     seen = checkpointed(search(content, questions, options).select("query_id", "content_unit_id", "score"))
-    asked = {r[0].strip().lower() for r in questions.select("text").collect()}  # the run's own few questions
+    before, confidence, reason = set(), 0.0, research.MOST_ROUNDS
     for number in range(options.iterations):
-        following = more(number, seen)
-        texts = {r[0].strip().lower() for r in following.select("text").collect()} if following is not None else set()
-        if not texts or texts <= asked:
+        following, sure = more(number, seen)
+        texts = {r[0].strip().lower() for r in following.select("text").collect()} if following is not None else set()  # the run's own few questions
+        if not texts:
+            reason = research.NO_QUERIES
+            break
+        if number + 1 >= options.iterations:
+            break
+        if texts <= before and sure <= confidence:
+            reason = research.REPEATED
             break
         fresh = search(content, following, options).select("query_id", "content_unit_id", "score")
         fresh = checkpointed(fresh.join(seen.select("query_id", "content_unit_id"), ["query_id", "content_unit_id"], "left_anti"))
         if not fresh.take(1):
+            reason = research.NOTHING_NEW
             break
-        asked |= texts
+        before, confidence = texts, sure
         seen = checkpointed(seen.unionByName(fresh))
+    if told is not None:
+        told(reason)
     return seen

@@ -394,3 +394,64 @@ def updated(base: DataFrame, changes: DataFrame, keys: Sequence[str], columns: S
     new = changes.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in columns])
     joined = base.join(new, list(keys), "left")
     return joined.withColumns({c: F.coalesce(f"_new_{c}", c) for c in columns}).drop(*[f"_new_{c}" for c in columns])
+
+
+def extracted_units(pages: DataFrame, said: DataFrame, document: str = "document_version_id") -> DataFrame:
+    """Units with the keywords and entities that an extraction's answers (document, payload) give them, by unit id: the chunk's id or the page's number.
+
+    An answer counts only if all its items have an id and none twice; a unit without an item, or with NULL lists, gets empty ones."""
+    from folioflow.providers import parsed_answer, valid_items
+
+    items = said.select(document, parsed_answer(F.col("payload"), "content_extraction")["items"].alias("_items")).where(valid_items(F.col("_items"), "unit_id"))
+    by_unit = items.select(document, F.explode("_items").alias("_i")).groupBy(document, F.col("_i.unit_id").alias("_unit")).agg(F.first("_i").alias("_i"))
+    unit = F.coalesce(F.nullif(F.col("chunk_id"), F.lit("")), F.col("page_number").cast("string"))
+    none = F.array().cast("array<string>")
+    joined = pages.drop("keywords", "entities").withColumn("_unit", unit).join(by_unit, [document, "_unit"], "left")
+    return joined.withColumns({"keywords": F.coalesce("_i.keywords", none), "entities": F.coalesce("_i.entities", none)}).drop("_unit", "_i")
+
+
+def document_metadata(versions: DataFrame, said: DataFrame, key: str = "id") -> DataFrame:
+    """(key, title, language, structure_type, has_toc): a document's metadata from the answers (key, answer); workbooks are sheet_based whatever is said, and
+    the file's name stands for a blank title. Documents without an answer have no structure."""
+    joined = versions.select(key, "filename", "filetype").join(said.select(key, "answer"), key, "left")
+    return joined.select(
+        key,
+        F.coalesce(F.nullif(F.trim("answer.title"), F.lit("")), F.col("filename")).alias("title"),
+        F.coalesce("answer.language", F.lit("")).alias("language"),
+        F.when(F.lower("filetype") == "xlsx", "sheet_based").otherwise(F.coalesce("answer.structure_type", F.lit(""))).alias("structure_type"),
+        F.coalesce("answer.has_toc", F.lit(False)).alias("has_toc"),
+    )
+
+
+def toc_entries(sections: DataFrame, document: str = "document_version_id") -> DataFrame:
+    """(document, toc): the sections in order as an array of (name, page_number, summary)."""
+    entry = F.struct(F.col("page_start").alias("_p"), F.col("section_id").try_cast("int").alias("_n"), F.struct(F.col("title").alias("name"), F.col("page_start").alias("page_number"), F.coalesce("summary", F.lit("")).alias("summary")).alias("e"))
+    return sections.groupBy(document).agg(F.transform(F.array_sort(F.collect_list(entry)), lambda x: x["e"]).alias("toc"))
+
+
+def to_summarise(sections: DataFrame) -> DataFrame:
+    """Sections with ``turn``: primaries first, then subsections that have no summary yet; those that have one are left out."""
+    first = F.col("level") == "section"
+    return sections.where(first | (F.coalesce("summary", F.lit("")) == "")).withColumn("turn", F.when(first, 1).otherwise(2))
+
+
+def large_subsections(sections: DataFrame, pages: DataFrame, limit: int = 15_000, document: str = "document_version_id") -> DataFrame:
+    """(document, parent_section_id, section_id, page_number): the pages of sections beyond the limit as their subsections ``id.1``, ``id.2``, in page order."""
+    owned = pages_in_sections(pages, sections, document).where(F.col("section_id").isNotNull())
+    large = owned.groupBy(document, "section_id").agg(F.sum(F.coalesce("token_count", F.lit(0))).alias("_t")).where(F.col("_t") > limit)
+    own_pages = owned.select(document, "section_id", "page_number").distinct().join(large.select(document, "section_id"), [document, "section_id"])
+    no = F.row_number().over(Window.partitionBy(document, "section_id").orderBy("page_number"))
+    return own_pages.select(document, F.col("section_id").alias("parent_section_id"), F.concat_ws(".", "section_id", no.cast("string")).alias("section_id"), "page_number")
+
+
+def padded_box(x1: Column, y1: Column, x2: Column, y2: Column, padding: float = 0.025) -> Column:
+    """A region's corners moved outwards by a part of the page, inside the page; NULL if the box is not valid."""
+    one, zero = F.lit(1.0), F.lit(0.0)
+    box = F.struct(F.greatest(zero, x1 - padding).alias("x1"), F.greatest(zero, y1 - padding).alias("y1"), F.least(one, x2 + padding).alias("x2"), F.least(one, y2 + padding).alias("y2"))
+    return F.when(valid_box(x1, y1, x2, y2), box)
+
+
+def page_with_regions(text: Column, regions: Column) -> Column:
+    """A page's text and, under headings of their own, what was read in its regions (title, content); blank contents are left out."""
+    told = F.transform(F.filter(F.coalesce(regions, F.array()), lambda r: F.coalesce(r["content"], F.lit("")) != ""), lambda r: F.concat(F.lit("## "), F.coalesce(r["title"], F.lit("Region")), F.lit("\n"), r["content"]))
+    return F.concat_ws("\n\n", F.nullif(F.coalesce(text, F.lit("")), F.lit("")), told)

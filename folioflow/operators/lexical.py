@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioflow.operators.ranks import row_numbers
-from folioflow.session import checkpointed
+from folioflow.session import checkpointed, small_side
 
 K1, B = 1.2, 0.75
 TERM_CAP = 6
@@ -139,3 +139,19 @@ def contains_any(rows: DataFrame, array: str, wanted: Sequence[str], key: Sequen
 def contains_all(rows: DataFrame, array: str, wanted: Sequence[str]) -> DataFrame:
     """Rows whose array has every one of the texts, exactly."""
     return rows.where(F.size(F.array_except(F.array(*[F.lit(w) for w in wanted]), F.coalesce(array, F.array().cast("array<string>")))) == 0)
+
+
+def alternatives(query: Column) -> Column:
+    """A query's alternatives (``a OR "b c"``), each as its terms with a space around every one; those without terms are left out."""
+    padded = F.transform(F.split(query, r"\s+OR\s+"), lambda q: F.concat(F.lit(" "), F.array_join(terms_of(q), " "), F.lit(" ")))
+    return F.array_distinct(F.filter(padded, lambda q: F.trim(q) != ""))
+
+
+def text_matches(texts: DataFrame, queries: DataFrame, unit: str, text: str) -> DataFrame:
+    """(query_id, unit, n_matched): of a stated set of queries (query_id, query_text) the texts in which an alternative's terms stand side by side in
+    its order, and how many of the alternatives do. NULL and empty texts match nothing."""
+    asked = queries.select("query_id", alternatives(F.col("query_text")).alias("_asked")).where(F.size("_asked") > 0)
+    own = texts.select(F.col(unit).alias("unit"), F.concat(F.lit(" "), F.array_join(terms_of(F.col(text)), " "), F.lit(" ")).alias("_own"))
+    found = F.size(F.filter("_asked", lambda q: F.contains(F.col("_own"), q)))
+    # a stated query set against all rows
+    return own.join(small_side(asked)).select("query_id", F.col("unit").alias(unit), found.alias("n_matched")).where("n_matched > 0")

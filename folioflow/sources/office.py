@@ -9,6 +9,8 @@ import zipfile
 from collections.abc import Callable
 from xml.etree import ElementTree
 
+from folioflow.sources.pdf import read_pdf
+
 # The namespaces of the file formats.
 W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 A = "{http://schemas.openxmlformats.org/drawingml/2006/main}"
@@ -142,4 +144,4 @@ def read_xlsx(content: bytes) -> list[str]:
     return pages
 
 
-READERS: dict[str, Callable[[bytes], list[str]]] = {"txt": read_text, "md": read_text, "docx": read_docx, "pptx": read_pptx, "xlsx": read_xlsx}
+READERS: dict[str, Callable[[bytes], list[str]]] = {"txt": read_text, "md": read_text, "pdf": read_pdf, "docx": read_docx, "pptx": read_pptx, "xlsx": read_xlsx}
