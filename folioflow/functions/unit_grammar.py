@@ -1,11 +1,13 @@
 """Numbers and unit strings: segmentation of a unit by dynamic programming over tries.
 
 A unit string is cut into a prefix (scale), a root (currency, ratio, count or duration), an exponent (power of ten)
-and fillers. Several cuts may be possible, as for ``m`` (million or month) or ``mm``; the cheapest wins, where a root
-costs less if the field it stands in usually has that dimension."""
+and fillers, each with a trie of its own. Several cuts may be possible, as for ``m`` (million or month) or ``mm``; the cheapest wins, where a root
+costs less the likelier its dimension is in the field it stands in. These likelihoods come from the table (``operators.units``); without them the words of the field's
+name give them."""
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from collections.abc import Iterable, Iterator
@@ -42,12 +44,16 @@ ROOTS = {
 }
 EXPONENTS = {3: ["10^3", "e3", "10³"], 6: ["10^6", "e6", "10⁶"], 9: ["10^9", "e9", "10⁹"]}
 FILLERS = ["in", "of", "as", "a", "an", "the", "per", " ", ",", ".", ":", ";", "/", "×", "x", "-", "–", "(", ")", "[", "]", "~"]
+DIMENSIONS = (MONEY, RATIO, COUNT, DURATION)
+UNKNOWN = (0.25, 0.25, 0.25, 0.25)
+#: Words that suggest a dimension where the table says nothing of a field.
 DIMENSION_WORDS = {
-    RATIO: ["pcl on impaired loans", "ratio", "margin", "return", "cost of funds", "rate", "yield", "loans"],
+    RATIO: ["ratio", "margin", "return", "rate", "yield"],
     DURATION: ["term", "maturity", "duration", "gap", "period", "tenor"],
-    COUNT: ["clients", "terminals", "machines", "employees", "accounts", "branches", "users", "headcount"],
-    MONEY: ["assets", "deposits", "income", "revenue", "expenses", "costs", "losses", "capital", "impaired loans"],
+    COUNT: ["clients", "customers", "employees", "accounts", "branches", "users", "headcount"],
+    MONEY: ["assets", "deposits", "income", "revenue", "expenses", "costs", "losses", "capital", "loans"],
 }
+Prior = tuple[float, float, float, float]
 
 
 class Unit(NamedTuple):
@@ -67,11 +73,11 @@ def _trie(words: list[tuple[str, str, object]]) -> dict:
     return top
 
 
-TRIE = _trie(
-    [(w, "scale", s) for s, words in PREFIXES.items() for w in words]
-    + [(w, "root", r) for r, words in ROOTS.items() for w in words]
-    + [(w, "scale", s) for s, words in EXPONENTS.items() for w in words]
-    + [(w, "filler", None) for w in FILLERS]
+TRIES = (
+    _trie([(w, "scale", s) for s, words in PREFIXES.items() for w in words]),
+    _trie([(w, "root", r) for r, words in ROOTS.items() for w in words]),
+    _trie([(w, "scale", s) for s, words in EXPONENTS.items() for w in words]),
+    _trie([(w, "filler", None) for w in FILLERS]),
 )
 
 
@@ -86,56 +92,81 @@ def field_dimension(metric_name: str | None) -> str | None:
     return best[2]
 
 
-def _cost(kind: str, value, length: int, dimension: str | None) -> float:
+def prior_of(dimension: str | None) -> Prior:
+    return UNKNOWN if dimension is None else tuple(0.94 if d == dimension else 0.02 for d in DIMENSIONS)
+
+
+def learned_prior(name: str | None, counts: Iterable[int]) -> Prior:
+    """The likelihood of each dimension in a field, from how often each was stated in it and, as two more statements, from its name."""
+    counts, words = list(counts), prior_of(field_dimension(name))
+    return tuple(round((n + 2 * w) / (sum(counts) + 2), 2) for n, w in zip(counts, words, strict=True))
+
+
+def _surprise(p: float) -> float:
+    return -0.75 * math.log(max(p, 0.01))
+
+
+def _cost(kind: str, value, length: int, prior: Prior) -> float:
     if kind == "filler":
         return 0.3 + 0.05 * length
     cost = 1.0 + (1.0 if length == 1 else 0.0)
     if kind == "root":
-        cost += 0.0 if value[1] == dimension else 0.5 if dimension is None else 1.5
-    elif dimension in (RATIO, DURATION):
-        cost += 1.5
-    return cost
+        return cost + _surprise(prior[DIMENSIONS.index(value[1])])
+    return cost + _surprise(prior[0] + prior[2])  # amounts and counts have scales
 
 
-@lru_cache(maxsize=200_000)
-def segment(text: str, dimension: str | None) -> Unit | None:
-    """The cheapest cut of the whole of ``text``, with at most one scale and one root; None if there is none.
+def segment(text: str, field: str | Prior | None) -> Unit | None:
+    """The cheapest cut of the whole of ``text``, with at most one scale and one root; None if there is none. ``field``: the likelihoods of
+    the dimensions, or the only likely one.
 
     Letters that stand side by side may only be cut between a currency and its scale, as in ``CADbn``."""
+    return _segment(text, field if isinstance(field, tuple) else prior_of(field))
+
+
+@lru_cache(maxsize=200_000)
+def _segment(text: str, prior: Prior) -> Unit | None:
     text = text.casefold().replace("’", "'").strip()
     best: list[dict[tuple, tuple[float, Unit, str]]] = [{} for _ in range(len(text) + 1)]
     best[0][(None, None, "")] = (0.0, Unit(None, None), "")
     for i in range(len(text)):
         if not best[i]:
             continue
-        node, j = TRIE, i
-        while j < len(text) and text[j] in node:
-            node, j = node[text[j]], j + 1
-            for kind, value in node.get("", ()):
-                glued_right = text[j - 1].isalpha() and j < len(text) and text[j].isalpha()
-                for cost, unit, last in best[i].values():
-                    glued = i > 0 and text[i - 1].isalpha() and text[i].isalpha()
-                    if (glued or glued_right) and kind == "filler":
-                        continue
-                    if glued and not ({kind, last} == {"scale", "root"}):
-                        continue
-                    if kind == "scale":
-                        if unit.scale is not None:
+        for trie in TRIES:
+            node, j = trie, i
+            while j < len(text) and text[j] in node:
+                node, j = node[text[j]], j + 1
+                for kind, value in node.get("", ()):
+                    glued_right = text[j - 1].isalpha() and j < len(text) and text[j].isalpha()
+                    for cost, unit, last in list(best[i].values()):
+                        glued = i > 0 and text[i - 1].isalpha() and text[i].isalpha()
+                        if (glued or glued_right) and kind == "filler":
                             continue
-                        new = Unit(value, unit.root)
-                    elif kind == "root":
-                        if unit.root is not None:
+                        if glued and not ({kind, last} == {"scale", "root"}):
                             continue
-                        new = Unit(unit.scale, value)
-                    else:
-                        new = unit
-                    total, key = cost + _cost(kind, value, j - i, dimension), (new.scale, new.root, kind)
-                    if key not in best[j] or total < best[j][key][0]:
-                        best[j][key] = (total, new, kind)
+                        if kind == "scale":
+                            if unit.scale is not None:
+                                continue
+                            new = Unit(value, unit.root)
+                        elif kind == "root":
+                            if unit.root is not None:
+                                continue
+                            new = Unit(unit.scale, value)
+                        else:
+                            new = unit
+                        total, key = cost + _cost(kind, value, j - i, prior), (new.scale, new.root, kind)
+                        if key not in best[j] or total < best[j][key][0]:
+                            best[j][key] = (total, new, kind)
     ends = [(c, u) for c, u, _ in best[len(text)].values() if (u.scale is None or u.root is None or u.root[1] in (MONEY, COUNT))]
     return min(ends, key=lambda e: e[0])[1] if ends else None
 
 
+def stated_dimension(unit: str | None) -> str | None:
+    """The dimension that a unit states whatever the field it stands in; None if it states none or several are possible."""
+    text = unicodedata.normalize("NFKC", unit or "").strip()
+    found = {u.root[1] if u is not None and u.root is not None else None for u in (segment(text, d) for d in DIMENSIONS)} if text else {None}
+    return found.pop() if len(found) == 1 else None
+
+
 NUMBER = re.compile(r"\d+(?:[.,'’    ]\d+)*")
 _MINUS = "-−–—‒﹣－"
 APPROXIMATE = re.compile(r"(?i)(?<![a-z])(?:approximately|approx\.?|around|about|circa|ca\.|c\.)|[~≈±+]")
@@ -208,7 +239,7 @@ def _tails(name: str) -> list[str]:
 BESIDE = 5
 
 
-def _unit_prefix(words: list[str], dimension: str | None) -> list[str]:
+def _unit_prefix(words: list[str], dimension: Prior) -> list[str]:
     """The longest run of first words that states a unit, in a list of its own; empty if there is none."""
     for n in range(min(len(words), BESIDE), 0, -1):
         text = " ".join(words[:n]).rstrip(".,;:)")
@@ -217,7 +248,7 @@ def _unit_prefix(words: list[str], dimension: str | None) -> list[str]:
     return []
 
 
-def _beside(text: str, number: Decimal, dimension: str | None) -> list[str]:
+def _beside(text: str, number: Decimal, dimension: Prior) -> list[str]:
     """What states a unit around the first place of the text that gives the number: as many of the words beside it as parse."""
     for found in NUMBER.finditer(text):
         if parse_number(found.group()) != abs(number):
@@ -234,38 +265,42 @@ def _beside(text: str, number: Decimal, dimension: str | None) -> list[str]:
     return []
 
 
-def places(value_rest: str, unit: str | None, name: str | None, location: str | None, finding: str | None, number: Decimal | None = None) -> list[Iterable[str]]:
-    """The texts that may state a unit, place by place in the order in which they prevail."""
+def places(
+    value_rest: str, unit: str | None, name: str | None, location: str | None, finding: str | None, number: Decimal | None = None, own: str | None = None, prior: Prior | None = None
+) -> list[Iterable[str]]:
+    """The texts that may state a unit, place by place in the order in which they prevail. ``own``: a bracket that belongs to the metric's name."""
+    likely = prior_of(field_dimension(name)) if prior is None else prior
+
     def clean(text: str | None) -> str:
         return unicodedata.normalize("NFKC", text or "").strip()
 
     def cued(text: str | None) -> Iterator[str]:
-        found, dimension = CUE.search(clean(text)), field_dimension(name)
+        found = CUE.search(clean(text))
         if found:
             yield found.group(1).strip().removesuffix(")").strip().removesuffix(".")
             yield found.group(1).strip().removesuffix(")")
             # more text follows the unit
-            yield from _unit_prefix(found.group(1).split(), dimension)
+            yield from _unit_prefix(found.group(1).split(), likely)
         if number is not None:
-            yield from _beside(clean(text), number, dimension)
+            yield from _beside(clean(text), number, likely)
 
-    # the abbreviation that belongs to the name itself states no unit
-    own = re.sub(r"^(Employees) \(FTE\)", r"\1", clean(name))
-    return [[value_rest], [clean(unit)], _tails(own), cued(location), cued(finding)]
+    return [[value_rest], [clean(unit)], _tails(clean(name).replace(own, "", 1).strip() if own else clean(name)), cued(location), cued(finding)]
 
 
-def common_amount(value: str | None, unit: str | None, name: str | None, location: str | None, finding: str | None) -> tuple[str, int] | None:
+def common_amount(
+    value: str | None, unit: str | None, name: str | None, location: str | None, finding: str | None, own: str | None = None, prior: Prior | None = None
+) -> tuple[str, int] | None:
     """(common unit, amount) of a finding, or None if its value is not one number with a known unit.
 
-    Amounts are rounded half up to whole units; one beyond 64 bits is no case."""
+    ``own`` and ``prior`` are what the table tells of the metric. Amounts are rounded half up to whole units; one beyond 64 bits is no case."""
     parsed = parse_value(value) if value else None
     if parsed is None:
         return None
     number, rest = parsed
-    dimension = field_dimension(name)
+    likely = prior_of(field_dimension(name)) if prior is None else prior
     scale = root = None
-    for at, texts in enumerate(places(rest, unit, name, location, finding, number)):
-        read = next((u for t in texts if t and (u := segment(t, dimension)) is not None), None)
+    for at, texts in enumerate(places(rest, unit, name, location, finding, number, own, likely)):
+        read = next((u for t in texts if t and (u := segment(t, likely)) is not None), None)
         if read is None:
             if at == 0 and rest:
                 return None  # words beside the number
@@ -275,7 +310,7 @@ def common_amount(value: str | None, unit: str | None, name: str | None, locatio
         if root is not None and (scale is not None or root[1] not in (MONEY, COUNT)):
             break  # later places state nothing that counts
     if root is None:
-        if scale is None or dimension != COUNT:
+        if scale is None or likely[DIMENSIONS.index(COUNT)] <= 0.5:
             return None
         root = ("each", COUNT, "1")
     factor = Decimal(root[2]) * (Decimal(10) ** scale if scale is not None and root[1] in (MONEY, COUNT) else 1)

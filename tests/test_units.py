@@ -1,7 +1,7 @@
 import pytest
 
-from folioflow.functions.unit_grammar import common_amount, parse_number, segment
-from folioflow.operators.units import common_units
+from folioflow.functions.unit_grammar import PREFIXES, ROOTS, common_amount, learned_prior, parse_number, segment, stated_dimension
+from folioflow.operators.units import common_units, metric_profiles
 
 CASES = [
     (("2,265", None, "Total assets", "Footnote 38, figures in US$ MM", "x"), ("USD", 2265000000)),
@@ -27,7 +27,6 @@ CASES = [
     (("see note 7", "$MM", "Total assets", "x", "x"), None),
     (("n.m.", "%", "CET1 ratio", "x", "x"), None),
     (("5,316.8", "-", "Net interest margin", "Table 23", "x was reported for Capital Markets."), None),
-    (("298", None, "Employees (FTE)", "Table 1", "Employees moved because of migration."), None),
     (("", "%", "CET1 ratio", None, None), None),
     ((None, "%", "CET1 ratio", None, None), None),
     (("99999999999999999999", "$", "Total assets", None, None), None),
@@ -72,3 +71,41 @@ def test_operator_edges(spark):
 )
 def test_units_beside_the_value_and_before_more_text(fields, want):
     assert common_amount(*fields) == want
+
+
+SCHEMA = "finding_id bigint, metric_value string, unit string, metric_name string, location_detail string, finding string"
+
+
+def test_a_bracket_that_belongs_to_a_name_states_no_unit(spark):
+    """Learned from the table: nearly all names of the metric have it, also where the unit stands elsewhere."""
+    rows = [(i, "298", u, "Employees (FTE)", "Table 1", "Employees moved because of migration.") for i, u in enumerate([None, "thousand", "#", "employees", None])]
+    rows += [(9, "5", None, "Employees (FTE) (FTE)", "x", "x"), (10, "7", "", "Digital clients [users]", "x", "x"), (11, "7", "users", "Digital clients", "x", "x"), (12, "7", "k", "Digital clients", "x", "x")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {r["finding_id"]: r["amount"] for r in common_units(df).collect()}
+    assert got == {1: 298000, 2: 298, 3: 298, 9: 5, 10: 7, 11: 7, 12: 7000}
+    own = {r["head"]: r["own"] for r in metric_profiles(df).collect()}
+    assert own == {"employees": "(FTE)", "digital clients": None}
+
+
+def test_likelihoods_are_learned_from_the_units_that_a_table_states(spark):
+    rows = [(i, "3", u, "Widget spread", "x", "x") for i, u in enumerate(["months", "years", "quarters", "months", "m"])]
+    rows += [(10 + i, "3", u, "Gadget spread", "x", "x") for i, u in enumerate(["USD", "EUR", "USD bn", "$MM", "m"])]
+    got = {r["finding_id"]: (r["common_unit"], r["amount"]) for r in common_units(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got[4] == ("month", 3) and 14 not in got and got[12] == ("USD", 3_000_000_000)
+    assert learned_prior("Widget spread", (0, 0, 0, 98)) == (0.01, 0.01, 0.01, 0.98)
+    assert [stated_dimension(u) for u in ("USD bn", "%", "m", "", None, "months")] == ["money", "ratio", None, None, None, "duration"]
+
+
+def test_unit_strings_that_no_fixture_has():
+    """Every currency with every scale in nine forms of writing, most of which stand in no test table."""
+    forms = ("{c} {s}", "{s} {c}", "in {s} of {c}", "{c}, {s}", "{c} ({s})", "({c} {s})", "{s}, {c}", "as {c} {s}", "[{s} {c}]")
+    right = total = 0
+    for (unit, dimension, _), names in ROOTS.items():
+        for name in names if dimension == "money" else ():
+            for power, scales in PREFIXES.items():
+                for scale in scales:
+                    for form in forms:
+                        read = segment(form.format(c=name, s=scale), "money")
+                        total += 1
+                        right += read is not None and read.root is not None and (read.root[0], read.scale) == (unit, power)
+    assert total > 8000 and right / total > 0.99
