@@ -210,17 +210,30 @@ def _answers(spark, d):
     return text, refs
 
 
-@query()
+_ANSWERS = f"""{_REFS}, r AS (SELECT refs.*, v.filename FROM refs JOIN document_versions v ON v.id = document_version_id),
+f AS (SELECT document_version_id, finding_id, finding, finding_id % 5 AS n FROM research_findings),
+l AS (SELECT f.document_version_id, f.finding_id, f.finding, f.n, r.filename, CASE WHEN r.ref_id IS NULL THEN '[REF:' || f.n || ']' ELSE '<a href="https://docs.local/files/' || r.filename || '#page=' || r.page || '">[' || f.n || ']</a>' END AS mark
+  FROM f LEFT JOIN r ON r.document_version_id = f.document_version_id AND r.ref_id = f.n)"""
+
+
+@query(
+    f"""WITH {_ANSWERS} SELECT document_version_id, string_agg(finding || ' ' || mark, ' ' ORDER BY finding_id) AS text,
+  coalesce(array_to_string(list_sort(list(DISTINCT n) FILTER (filename IS NOT NULL)), ','), '') AS used_refs, coalesce(array_to_string(list_sort(list(DISTINCT n) FILTER (filename IS NULL)), ','), '') AS unknown_refs FROM l GROUP BY 1"""
+)
 def linked_answers(spark, d):
-    """Answers made of a document's findings, with links for the references that exist. No SQL: RE2 has no look-around."""
+    """Answers made of a document's findings, with links for the references that exist."""
     text, refs = _answers(spark, d)
     out = answers.linked_answers(text, refs, "document_version_id")
     return out.withColumns({"used_refs": F.array_join("used_refs", ","), "unknown_refs": F.array_join("unknown_refs", ",")})
 
 
-@query()
+@query(
+    r"""WITH t AS (SELECT document_version_id, string_agg(finding || ' [REF:' || finding_id % 5 || ']', ' ' ORDER BY finding_id) AS text FROM research_findings GROUP BY 1),
+s AS (SELECT document_version_id, list_filter(string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: contains(x, '[')) AS l FROM t)
+SELECT document_version_id, array_to_string(l[1:5], chr(10)) AS sentences FROM s"""
+)
 def cited_sentences(spark, d):
-    """O12. No SQL: RE2 has no look-behind."""
+    """O12"""
     return _answers(spark, d)[0].select("document_version_id", F.array_join(answers.cited_sentences(F.col("text")), "\n").alias("sentences"))
 
 

