@@ -297,11 +297,17 @@ def distinct_calls(spark, d):
     return out.select("page_result_id", F.sha2(F.coalesce("raw_content", F.lit("")), 256).alias("digest"), "copies")
 
 
-@query()
+@query(
+    r"""WITH w AS (SELECT page_result_id, md5(unnest(regexp_extract_all(lower(raw_content), '[\pL\pN_]+'))) AS h FROM page_results WHERE raw_content IS NOT NULL),
+c AS (SELECT page_result_id, ('0x' || substr(h, 15, 2))::INT % 64 AS i, sum(CASE WHEN substr(h, 1, 1) >= '8' THEN 1 ELSE -1 END) AS v FROM w GROUP BY 1, 2),
+n AS (SELECT page_result_id, sqrt(sum(v * v)) AS length FROM c GROUP BY 1), d AS (SELECT unnest(range(0, 64)) AS i)
+SELECT n.page_result_id, sha256(string_agg(coalesce(round(1000 * v / length), 0)::INT::VARCHAR, ',' ORDER BY d.i)) AS digest
+FROM n CROSS JOIN d LEFT JOIN c ON c.page_result_id = n.page_result_id AND c.i = d.i WHERE length > 0 GROUP BY n.page_result_id"""
+)
 def embed_hash(spark, d):
-    """Offline embeddings of all pages, as digests. No SQL: the vectors are made in Python."""
-    p = providers.embedded(table(spark, d, "page_results"), "raw_content")
-    return p.select("page_result_id", F.sha2(F.to_json("vector"), 256).alias("vector_digest"))
+    """Offline embeddings of all pages that have words, as digests of their thousandths."""
+    e = providers.embedded(table(spark, d, "page_results").select("page_result_id", "raw_content"), "raw_content").where(F.col("vector").isNotNull())
+    return e.select("page_result_id", F.sha2(F.array_join(F.transform("vector", lambda x: F.round(x * 1000).cast("int").cast("string")), ","), 256).alias("digest"))
 
 
 @query(

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioflow.plans import answer_queries, content_queries, detail_queries, pipeline_queries, run_queries, search_queries, store_queries
+from folioflow.plans import answer_queries, content_queries, detail_queries, exchange_queries, pipeline_queries, run_queries, search_queries, store_queries
 
-GROUPS = (store_queries, search_queries, content_queries, answer_queries, detail_queries, run_queries)
+GROUPS = (store_queries, search_queries, content_queries, answer_queries, detail_queries, run_queries, exchange_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -86,7 +86,7 @@ def hash_embedding(texts: pd.Series, size: int = 64) -> pd.Series:
     def vector(text: str | None) -> list[float] | None:
         total = np.zeros(size)
         for word in re.findall(r"\w+", (text or "").lower()):
-            h = int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "big")
+            h = int.from_bytes(hashlib.md5(word.encode(), usedforsecurity=False).digest()[:8], "big")
             total[h % size] += 1.0 if h >> 63 else -1.0
         length = float(np.sqrt((total * total).sum()))
         return (total / length).tolist() if length else None

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,12 +35,10 @@ def local_session(cores: str = "8", partitions: int = 8, memory: str = "6g") ->
     )
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder, its lineage cut.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: the session's ``spark.checkpoint.dir``.
 
-    The folder is the session's ``spark.checkpoint.dir``. Only a local session may go without: it gets a folder of this machine's; elsewhere
-    that would lose data with its machine, so it is an error."""
-    spark = df.sparkSession
+    Only a local session may go without: it gets a folder of this machine's; elsewhere that would lose data with its machine, so it is an error."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -48,6 +47,17 @@ def checkpointed(df: DataFrame) -> DataFrame:
                 raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="folioflow-")
         context.setCheckpointDir(folder)
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new path below the shared folder."""
+    return f"{shared_folder(spark)}/scratch-{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder, its lineage cut."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

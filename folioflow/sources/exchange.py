@@ -73,6 +73,8 @@ def read_artifacts(spark: SparkSession, folder: str, stage: str, ddl: str) -> Da
     return parsed.withColumn("raw_content", F.coalesce("raw_content", "content")).drop("content") if legacy else parsed
 
 
+#: Most cases of a suite.
+SUITE = 10_000
 TRACE_ID = re.compile(r"[0-9TZ]+_[0-9a-f]{8}")
 
 
@@ -112,3 +114,25 @@ def query_suite(spark: SparkSession, path: str) -> DataFrame:
     cases = cases.get("queries", []) if isinstance(cases, dict) else cases
     rows = [(c["name"], c["query"], [(x["bank"], x["period"]) for x in c.get("combos", [])], c.get("sources"), json.dumps(c.get("assertions", {}))) for c in cases]
     return spark.createDataFrame(rows, "name string, query string, combos array<struct<bank:string,period:string>>, sources array<string>, assertions string")
+
+
+def write_suite(cases: DataFrame, path: str) -> None:
+    """Test questions (name, query, combos, sources, assertions) as a suite of one JSON file; a suite is written by hand and small."""
+    rows = [r.asDict(recursive=True) for r in cases.limit(SUITE + 1).collect()]
+    if len(rows) > SUITE:
+        raise ValueError(f"more than {SUITE} cases")
+    body = json.dumps({"queries": [row | {"assertions": json.loads(row["assertions"] or "{}")} for row in rows]}, ensure_ascii=False)
+    cases.sparkSession.createDataFrame([(body,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def write_results(results: DataFrame, path: str) -> None:
+    """The results of a suite, a JSON object a line; NULL fields are written too."""
+    results.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+
+
+def list_traces(spark: SparkSession, folder: str) -> list[str]:
+    """The ids of the runs below a folder, the newest first."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(folder)
+    names = [s.getPath().getName() for s in at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(at)]
+    return sorted((n for n in names if TRACE_ID.fullmatch(n)), reverse=True)

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 MARK = re.compile(r"\[REF:(\d+)\]")
@@ -60,3 +61,12 @@ def stream_links(chunks: DataFrame, refs: dict[int, tuple[str, int]], timeout_ms
         yield pd.DataFrame(out, columns=["response_id", "seq", "text"])
 
     return chunks.groupBy("response_id").applyInPandasWithState(step, OUT, "tail string, seq bigint", "append", GroupStateTimeout.ProcessingTimeTimeout)
+
+
+def events(chunks: DataFrame, key: str = "response_id") -> DataFrame:
+    """(key, seq, event, data) of answers' chunks (key, seq, text, is_last, error) as server-sent events: a ``chunk`` for each text, ``result`` with the last one,
+    ``error`` where a chunk has a message. Chunks without text, unless they are the last, are left out."""
+    kind = F.when(F.coalesce("error", F.lit("")) != "", "error").when(F.col("is_last"), "result").otherwise("chunk")
+    body = F.when(kind == "error", F.to_json(F.struct(F.col("error").alias("message")))).otherwise(F.to_json(F.struct(F.coalesce("text", F.lit("")).alias("text"))))
+    shown = chunks.where((F.coalesce("text", F.lit("")) != "") | F.col("is_last") | (F.coalesce("error", F.lit("")) != ""))
+    return shown.select(key, "seq", kind.alias("event"), F.concat(F.lit("event: "), kind, F.lit("\ndata: "), body, F.lit("\n\n")).alias("data"))
