@@ -100,6 +100,18 @@ def resume_plans(versions: DataFrame, checkpoints: DataFrame, signatures: DataFr
     )
 
 
+def forced(plans: DataFrame, stage: str | None = None, stages: Sequence[str] = STAGES) -> DataFrame:
+    """Plans that go on from a stage whatever is done, or from the first one. A version that has not come as far as the stage keeps its plan, since what the
+    stage builds on is missing."""
+    at = stages.index(stage) if stage else 0
+    reached = F.col("completed") >= at
+    return plans.withColumns({
+        "completed": F.when(reached, F.lit(at)).otherwise(F.col("completed")),
+        "start_stage": F.when(reached, F.lit(stages[at])).otherwise(F.col("start_stage")),
+        "action": F.when(reached, F.lit("full" if at == 0 else "resume")).otherwise(F.col("action")),
+    })
+
+
 def stage_range(first: str | None = None, last: str | None = None, stages: Sequence[str] = STAGES) -> list[str]:
     low = stages.index(first) if first else 0
     high = stages.index(last) if last else len(stages) - 1

@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.operators import content, findings, fusion, lexical, research, sheets, stages, vector
+from folioflow import providers
+from folioflow.operators import content, findings, fusion, lexical, planning, research, sheets, stages, vector
 from folioflow.plans.answer_queries import _CELLS, _GROUPS
 from folioflow.plans.answer_queries import _groups as metric_records
 from folioflow.plans.content_queries import _SHEETS, _STARTS
 from folioflow.plans.search_queries import _NORMAL, _TOPK, _vectors
+from folioflow.plans.store_queries import _USABLE
 from folioflow.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -330,3 +332,19 @@ def sections_to_summarise(spark, d):
     level = F.when(F.coalesce("chunk_id", F.lit("")) == "", "section").otherwise("subsection")
     s = p.select("page_result_id", level.alias("level"), F.when(F.col("page_result_id") % 2 == 0, "done").alias("summary"))
     return content.to_summarise(s).select("page_result_id", "turn")
+
+
+@query("SELECT page_result_id, sha256('Page ' || coalesce(page_number::VARCHAR, '') || ' of version ' || coalesce(document_version_id::VARCHAR, '') || ':' || chr(10) || coalesce(raw_content, '')) AS digest FROM page_results")
+def rendered_prompts(spark, d):
+    """A prompt filled for each page; pages have braces of their own."""
+    text = providers.rendered("Page {page} of version {version}:\n{text}", {"page": F.col("page_number"), "version": F.col("document_version_id"), "text": F.col("raw_content")})
+    return table(spark, d, "page_results").select("page_result_id", F.sha2(text, 256).alias("digest"))
+
+
+@query(
+    f"""WITH {_USABLE} SELECT r.document_version_id, CASE WHEN r.completed >= 3 THEN 'chunking' ELSE s.stage_name END AS start_stage FROM run r LEFT JOIN stage_signatures s ON s.stage_order = r.completed + 1"""
+)
+def forced_plans(spark, d):
+    """All versions that have come as far as chunking go on from there."""
+    plans = planning.resume_plans(table(spark, d, "document_versions"), table(spark, d, "stage_checkpoints"), table(spark, d, "stage_signatures"))
+    return planning.forced(plans, "chunking").select("document_version_id", "start_stage")

@@ -7,7 +7,7 @@ import json
 import re
 import time
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 from typing import Any, Protocol
 
 import numpy as np
@@ -46,6 +46,29 @@ class Offline:
         return json.dumps(answers.get(stage, {"content": prompt}))
 
 
+def prompt_book(path: str) -> dict[str, dict[str, str]]:
+    """Prompts by stage from a JSON or, where the library is there, a YAML file: each with the texts ``system`` and ``user`` and, optionally, the ``fields`` that its
+    values fill (``{name}``). A prompt of an unknown stage, without a text, or with a place that is none of its fields is an error."""
+    with open(path, encoding="utf-8") as f:
+        if path.endswith((".yaml", ".yml")):
+            import yaml
+
+            book = yaml.safe_load(f)
+        else:
+            book = json.load(f)
+    for stage, prompt in book.items():
+        places = set(re.findall(r"\{(\w+)\}", prompt.get("user", "")))
+        if stage not in PROVIDER_ANSWERS or not prompt.get("system") or not prompt.get("user") or places - set(prompt.get("fields", places)):
+            raise ValueError(f"prompt of {stage!r}")
+    return book
+
+
+def rendered(prompt: str, values: Mapping[str, Column]) -> Column:
+    """A prompt with its places (``{name}``) filled; NULLs are blank. Values are not searched for places."""
+    parts = re.split(r"\{(\w+)\}", prompt)
+    return F.concat(*[F.lit(p) if k % 2 == 0 else F.coalesce(values[p].cast("string"), F.lit("")) for k, p in enumerate(parts)])
+
+
 def with_retry(call: Callable[[], Any], attempts: int = 3, pause: float = 1.0, retry: tuple[type[Exception], ...] = (ValueError, OSError)) -> Any:
     """The call's result; on the given errors it is made again after a pause that grows by the same amount each time."""
     for attempt in range(1, attempts + 1):

@@ -150,3 +150,48 @@ def test_pdf_unicode_map_and_errors():
             read_pdf(bad)
     with pytest.raises(ValueError):
         read_pdf(pdf([b""], False).replace(b"/Length 0", b"/Filter /DCTDecode"))
+
+
+def test_service(spark, data, tmp_path):
+    import json
+    import threading
+    import urllib.error
+    import urllib.request
+
+    from folioflow.service import server
+
+    suite = tmp_path / "suite.json"
+    suite.write_text(json.dumps({"queries": [{"name": "a", "query": "what?"}]}))
+    s = server(spark, data, str(tmp_path / "traces"), str(suite))
+    threading.Thread(target=s.serve_forever, daemon=True).start()
+    base = f"http://127.0.0.1:{s.server_address[1]}/api"
+    try:
+        get = lambda path: json.loads(urllib.request.urlopen(base + path).read())
+        assert get("/test-queries") == [{"name": "a", "query": "what?"}]
+        banks = get("/banks-periods")
+        assert banks and banks == sorted(banks, key=lambda b: b["bank"]) and banks[0]["periods"] == sorted(banks[0]["periods"], reverse=True)
+        body = json.dumps({"query": "net interest margin"}).encode()
+        events = urllib.request.urlopen(urllib.request.Request(base + "/query", data=body)).read().decode().strip().split("\n\n")
+        assert events[0].startswith("event: chunk\ndata: ") and events[-1].startswith("event: result")
+        trace = json.loads(events[-1].partition("data: ")[2])["trace_id"]
+        assert get(f"/trace/{trace}")[0]["query"] == "net interest margin"
+        assert urllib.request.urlopen(urllib.request.Request(base + "/query", data=b"{}")).read().startswith(b"event: error")
+        for path, data_, status in (("/trace/../x", None, 404), ("/trace/20260101T000000Z_00000000", None, 404), ("/nothing", None, 404), ("/query", b"[]", 400)):
+            with pytest.raises(urllib.error.HTTPError) as e:
+                urllib.request.urlopen(urllib.request.Request(base + path, data=data_))
+            assert e.value.code == status
+    finally:
+        s.shutdown()
+        s.server_close()
+
+
+def test_prompts(spark, tmp_path):
+    from folioflow import providers
+
+    path = tmp_path / "p.json"
+    path.write_text('{"rerank": {"system": "s", "user": "Rank {query}", "fields": ["query"]}}')
+    assert providers.prompt_book(str(path))["rerank"]["user"] == "Rank {query}"
+    for bad in ('{"no_stage": {"system": "s", "user": "u"}}', '{"rerank": {"system": "s", "user": ""}}', '{"rerank": {"system": "s", "user": "{x}", "fields": []}}'):
+        path.write_text(bad)
+        with pytest.raises(ValueError):
+            providers.prompt_book(str(path))
