@@ -170,13 +170,15 @@ class ItemIndex:
             at = np.arange(0, max(0, len(ids) - size + 1), STEP if size > STRETCH else 1)
             share = held[at + size] - held[at] >= SIMILARITY * (whole[at + size] - whole[at]) - 1e-6
             at = at[share & (ends[at + size] == ends[at]) & (held[at + size] > held[at])]
-            windows = ids[at[:, None] + np.arange(size)]
-            for query, passage in passages.within_radius(passages.fingerprints(windows)):
-                for low in range(0, len(query), 20_000):
-                    q, p = query[low : low + 20_000], passage[low : low + 20_000]
-                    own = passages.words[p]
-                    alike = similarity(windows[q], weights[at[q][:, None] + np.arange(size)], own, self.weights[own]) >= SIMILARITY
-                    found.append(np.unique(rows[at[q[alike]]] * len(self.texts) + passages.owner[p[alike]]))
+            for begin in range(0, len(at), 65_536):
+                starts = at[begin : begin + 65_536]
+                windows = ids[starts[:, None] + np.arange(size)]
+                for query, passage in passages.within_radius(passages.fingerprints(windows)):
+                    for low in range(0, len(query), 20_000):
+                        q, p = query[low : low + 20_000], passage[low : low + 20_000]
+                        own = passages.words[p]
+                        alike = similarity(windows[q], weights[starts[q][:, None] + np.arange(size)], own, self.weights[own]) >= SIMILARITY
+                        found.append(np.unique(rows[starts[q[alike]]] * len(self.texts) + passages.owner[p[alike]]))
         both = np.unique(np.concatenate(found))
         yield from zip((both // max(len(self.texts), 1)).tolist(), (both % max(len(self.texts), 1)).tolist(), strict=True)
 
