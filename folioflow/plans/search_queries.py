@@ -343,14 +343,17 @@ def evidence_catalog(spark, d):
 
 
 @query(
-    f"""WITH {_UNITS}, t AS (SELECT document_version_id, coalesce(sum(token_count), 0) AS total FROM u GROUP BY 1)
+    f"""WITH {_NORMAL}, {_UNITS}, t AS (SELECT document_version_id, coalesce(sum(token_count), 0) AS total FROM u GROUP BY 1),
+hits AS (SELECT s.document_version_id, s.content_unit_id, max(f.score) AS score FROM (SELECT DISTINCT query_id, document_version_id, content_unit_id FROM search_results) s JOIN f USING (query_id, content_unit_id) GROUP BY 1, 2)
 SELECT document_version_id, content_unit_id, 1.0::DOUBLE AS score FROM u JOIN t USING (document_version_id) WHERE total <= 20000
-UNION ALL SELECT document_version_id, content_unit_id, 0.5 FROM u JOIN t USING (document_version_id) WHERE total > 20000"""
+UNION ALL SELECT document_version_id, content_unit_id, round(score, 6) FROM hits WHERE document_version_id NOT IN (SELECT document_version_id FROM t WHERE total <= 20000)"""
 )
 def small_doc_bypass(spark, d):
-    """Small documents whole, the hits (here all units) of the others."""
-    u = _units(spark, d)
-    return expand.small_or_searched(u, u.select("document_version_id", "content_unit_id", F.lit(0.5).alias("score")), 20000)
+    """Small documents whole, of the others the units that any query hit, with their best fused score."""
+    hits = table(spark, d, "search_results")
+    asked = hits.select("query_id", "document_version_id", "content_unit_id").where(F.col("document_version_id").isNotNull()).distinct()
+    found = asked.join(fusion.fused(hits).select("query_id", "content_unit_id", "score"), ["query_id", "content_unit_id"]).groupBy("document_version_id", "content_unit_id").agg(F.max("score").alias("score"))
+    return expand.small_or_searched(_units(spark, d), found, 20000).withColumn("score", F.round("score", 6))
 
 
 @query(
