@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 import io
+import itertools
+import posixpath
 import re
 import zipfile
 from collections.abc import Callable
@@ -16,6 +18,7 @@ W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 A = "{http://schemas.openxmlformats.org/drawingml/2006/main}"
 S = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 R = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
+C = "{http://schemas.openxmlformats.org/drawingml/2006/chart}"
 
 
 def _xml(archive: zipfile.ZipFile, name: str) -> ElementTree.Element:
@@ -99,8 +102,58 @@ def _letters(n: int) -> str:
     return name
 
 
+def _formats(archive: zipfile.ZipFile, names: set[str]) -> list[str]:
+    """The number format of each cell style; the built-in ones that matter are those of percentages, dates and times."""
+    if "xl/styles.xml" not in names:
+        return []
+    root = _xml(archive, "xl/styles.xml")
+    known = {9: "0%", 10: "0.00%", **dict.fromkeys((14, 15, 16, 17, 22, 27, 30, 36, 50, 57), "yyyy-mm-dd"), **dict.fromkeys((18, 19, 20, 21, 45, 46, 47), "h:mm")}
+    known |= {int(f.get("numFmtId")): f.get("formatCode") or "" for f in root.iter(f"{S}numFmt")}
+    styles = root.find(f"{S}cellXfs")
+    return [known.get(int(x.get("numFmtId") or 0), "") for x in styles] if styles is not None else []
+
+
+def _number(text: str, number_format: str, epoch: dt.datetime) -> str:
+    """A stored number as its format means it: a date or time, a percentage or a number."""
+    number = float(text)
+    bare = re.sub(r'"[^"]*"|\\.|\[[^\]]*\]', "", number_format).lower()
+    if "general" not in bare and re.search(r"[ymdhs]", bare):
+        return cell_text(epoch + dt.timedelta(seconds=round(number * 86400)))
+    return cell_text(int(number) if number.is_integer() and "%" not in number_format else number, number_format)
+
+
+#: Points of a chart's series that are shown.
+POINTS = 12
+
+
+def _charts(archive: zipfile.ZipFile, names: set[str], sheet: str) -> list[str]:
+    """The charts on a sheet as block quotes: title, and of each series the points that the file holds; the shorter side is padded with blanks."""
+    def targets(part: str, word: str) -> list[str]:
+        folder, _, name = part.rpartition("/")
+        rels = f"{folder}/_rels/{name}.rels"
+        found = [r.get("Target") or "" for r in _xml(archive, rels)] if rels in names else []
+        return [t for f in found if word in f and (t := posixpath.normpath(f if f.startswith("/") else f"{folder}/{f}").lstrip("/")) in names]
+
+    lines = []
+    for drawing in targets(sheet, "drawing"):
+        for part in targets(drawing, "chart"):
+            root = _xml(archive, part)
+            title = root.find(f".//{C}title")
+            name = "".join(t.text or "" for t in title.iter(f"{A}t")) if title is not None else ""
+            lines.append(f"> Chart: {name}".rstrip())
+            for k, series in enumerate(root.iter(f"{C}ser")):
+                def points(tag: str, series=series) -> list[str]:
+                    at = series.find(f"{C}{tag}")
+                    return [v.text or "" for p in at.iter(f"{C}pt") for v in p.iter(f"{C}v")] if at is not None else []
+
+                label = " ".join(points("tx")) or f"Series {k + 1}"
+                pairs = itertools.islice(itertools.zip_longest(points("cat") or points("xVal"), points("val") or points("yVal"), fillvalue=""), POINTS)
+                lines.append(f"> - {label}: " + "; ".join(f"{c}: {v}" for c, v in pairs))
+    return lines
+
+
 def read_xlsx(content: bytes) -> list[str]:
-    """One page for each sheet: a table of its populated rows and columns."""
+    """One page for each sheet: a table of its populated rows and columns, and its charts. Numbers are shown as their formats mean them."""
     with zipfile.ZipFile(io.BytesIO(content)) as archive:
         names = set(archive.namelist())
         shared = []
@@ -109,8 +162,10 @@ def read_xlsx(content: bytes) -> list[str]:
         targets = {}
         if "xl/_rels/workbook.xml.rels" in names:
             targets = {r.get("Id"): "xl/" + (r.get("Target") or "").removeprefix("/xl/") for r in _xml(archive, "xl/_rels/workbook.xml.rels")}
-        pages = []
-        for sheet in _xml(archive, "xl/workbook.xml").iter(f"{S}sheet"):
+        workbook, formats, pages = _xml(archive, "xl/workbook.xml"), _formats(archive, names), []
+        later = any((p.get("date1904") or "") in ("1", "true") for p in workbook.iter(f"{S}workbookPr"))
+        epoch = dt.datetime(1904, 1, 1) if later else dt.datetime(1899, 12, 30)
+        for sheet in workbook.iter(f"{S}sheet"):
             target = targets.get(sheet.get(f"{R}id"), f"xl/worksheets/sheet{sheet.get('sheetId')}.xml")
             rows: dict[int, dict[int, str]] = {}
             for cell in _xml(archive, target).iter(f"{S}c"):
@@ -128,8 +183,8 @@ def read_xlsx(content: bytes) -> list[str]:
                 elif kind in ("str", "e"):
                     text = raw.text
                 else:
-                    number = float(raw.text)
-                    text = cell_text(int(number) if number.is_integer() else number)
+                    style = int(cell.get("s") or 0)
+                    text = _number(raw.text, formats[style] if style < len(formats) else "", epoch)
                 if place and text:
                     column = 0
                     for ch in place.group(1):
@@ -140,6 +195,8 @@ def read_xlsx(content: bytes) -> list[str]:
             if columns:
                 lines += ["| Row | " + " | ".join(_letters(c) for c in columns) + " |", "| " + " | ".join(["---"] * (len(columns) + 1)) + " |"]
                 lines += [f"| {n} | " + " | ".join(rows[n].get(c, "") for c in columns) + " |" for n in sorted(rows)]
+            if charts := _charts(archive, names, target):
+                lines += ["", *charts]
             pages.append("\n".join(lines))
     return pages
 

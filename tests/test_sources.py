@@ -25,6 +25,23 @@ XLSX = {
 }
 
 
+def test_workbook_formats_and_charts():
+    ns, c, a = office.S[1:-1], office.C[1:-1], office.A[1:-1]
+    point = lambda tag, *vs: f"<c:{tag}><c:x>" + "".join(f"<c:pt><c:v>{v}</c:v></c:pt>" for v in vs) + f"</c:x></c:{tag}>"
+    parts = XLSX | {
+        "xl/styles.xml": f'<styleSheet xmlns="{ns}"><numFmts><numFmt numFmtId="164" formatCode="yyyy\\-mm\\-dd hh:mm"/><numFmt numFmtId="165" formatCode="#,##0 &quot;days&quot;"/></numFmts>'
+        '<cellXfs><xf numFmtId="0"/><xf numFmtId="10"/><xf numFmtId="14"/><xf numFmtId="164"/><xf numFmtId="165"/></cellXfs></styleSheet>',
+        "xl/worksheets/sheet1.xml": f'<worksheet xmlns="{ns}"><sheetData><row r="1"><c r="A1" s="1"><v>0.0523</v></c><c r="B1" s="2"><v>45658</v></c><c r="C1" s="3"><v>45658.5</v></c><c r="D1" s="4"><v>7</v></c><c r="E1" s="1"><v>1</v></c><c r="F1" s="99"><v>2</v></c></row></sheetData></worksheet>',
+        "xl/worksheets/_rels/sheet1.xml.rels": '<Relationships><Relationship Id="d" Target="../drawings/drawing1.xml"/></Relationships>',
+        "xl/drawings/drawing1.xml": "<x/>",
+        "xl/drawings/_rels/drawing1.xml.rels": '<Relationships><Relationship Id="c" Target="/xl/charts/chart1.xml"/><Relationship Id="m" Target="../charts/chart9.xml"/></Relationships>',
+        "xl/charts/chart1.xml": f'<c:chart xmlns:c="{c}" xmlns:a="{a}"><c:title><a:t>Income</a:t></c:title><c:ser>{point("tx", "CAD")}{point("cat", "Q1", "Q2", "Q3")}{point("val", 1.5, 2)}</c:ser><c:ser>{point("val", *range(20))}</c:ser></c:chart>',
+    }
+    page = office.read_xlsx(zipped(parts))[0].splitlines()
+    assert page[4] == "| 1 | 5.23% | 2025-01-01 | 2025-01-01 12:00:00 | 7 | 100% | 2 |"
+    assert page[6:8] == ["> Chart: Income", "> - CAD: Q1: 1.5; Q2: 2; Q3: "] and page[8] == "> - Series 2: " + "; ".join(f": {k}" for k in range(12))
+
+
 def test_office():
     assert office.read_xlsx(zipped(XLSX)) == ["# Sheet: One\n\n| Row | B | AA |\n| --- | --- | --- |\n| 2 | a\\|b | 1.5 |"]
     w = office.W[1:-1]
